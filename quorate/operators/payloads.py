@@ -175,13 +175,14 @@ def funding_rows(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
         given.alias("_given"),
         F.col("_round.raw").alias("raw"),
     )
-    no_object = ~F.coalesce(F.col("raw").startswith("{"), F.lit(False))
+    no_object = ~F.coalesce(F.schema_of_variant("raw").startswith("OBJECT"), F.lit(False))
     bad = F.when(no_object, "round is no object").when(
         fn.is_filled(F.col("_given")) & F.col("amount_inr").isNull(), "amount cannot be read"
     )
     marked = read.withColumn("reason", bad)
     rows = marked.where("reason is null").drop("reason", "raw", "_given")
-    return rows, marked.where("reason is not null").select(ENTITY_KEY, "ordinal", "reason", "raw")
+    lost = marked.where("reason is not null")
+    return rows, lost.select(ENTITY_KEY, "ordinal", "reason", F.to_json("raw").alias("raw"))
 
 
 def news_rows(news: DataFrame, load_date: Column) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -211,21 +210,36 @@ def validate(
     return df.select(*keys, F.lit(entity_type).alias("entity_type"), F.inline(F.array(*lines)))
 
 
-def count_where(conditions: Sequence[Column]) -> Column:
-    return reduce(add, [F.when(c, 1).otherwise(0) for c in conditions])
+def with_counts(df: DataFrame, entity_type: str, style: str = "typed") -> DataFrame:
+    """Add to every row its numbers of fields, valid fields, errors and
+    warnings, without building the long table.
+
+    Each rule is judged once per row: its outcome is one small number, and the
+    counters look at the array of those numbers only.
+    """
+    marks = []
+    for v in judge_all(df, entity_type, style):
+        grave = v.severity.isin("error", "critical")
+        marks.append(F.when(v.valid, 0).when(grave, 1).when(v.severity == WARNING, 2).otherwise(3))
+    marked = df.select("*", F.explode(F.array(F.array(*marks))).alias("_marks"))
+
+    def marked_as(mark: int) -> Column:
+        return F.size(F.filter("_marks", lambda m: m == mark))
+
+    return marked.select(
+        *df.columns,
+        F.lit(len(marks)).alias("fields"),
+        marked_as(0).alias("valid_fields"),
+        marked_as(1).alias("errors"),
+        marked_as(2).alias("warnings"),
+    )
 
 
 def row_counts(df: DataFrame, entity_type: str, keys: Sequence[str], style: str = "typed") -> DataFrame:
-    """Per row: fields, valid fields, errors and warnings, without building the
-    long table."""
-    verdicts = judge_all(df, entity_type, style)
-    return df.select(
-        *keys,
-        F.lit(entity_type).alias("entity_type"),
-        F.lit(len(verdicts)).alias("fields"),
-        count_where([v.valid for v in verdicts]).alias("valid_fields"),
-        count_where([~v.valid & v.severity.isin("error", "critical") for v in verdicts]).alias("errors"),
-        count_where([~v.valid & (v.severity == WARNING) for v in verdicts]).alias("warnings"),
+    """The counters of ``with_counts`` with keys and type only."""
+    counted = with_counts(df, entity_type, style)
+    return counted.select(
+        *keys, F.lit(entity_type).alias("entity_type"), "fields", "valid_fields", "errors", "warnings"
     )
 
 

@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from quorate.operators.consolidate import VOTED_FIELDS, consolidate
 from quorate.operators.payloads import company_rows
-from quorate.operators.report import profile_report
-from quorate.schemas import ENTITY_KEY
+from quorate.operators.rules import threshold_of
+from quorate.operators.validate import with_counts
 
 
 def consolidated_companies(entities: DataFrame, observations: DataFrame, style: str = "typed") -> DataFrame:
-    """Vote, completeness, company rows, rule score and threshold gate."""
+    """Vote, completeness, company rows, rule score and threshold gate.
+
+    An entity is one row here, so its score is computed in place: after the
+    vote and the join nothing is shuffled again.
+    """
     companies = company_rows(entities, consolidate(observations, ["entity_id"], VOTED_FIELDS))
-    report = profile_report({"company": companies}, style=style)
-    scored = report.select(
-        ENTITY_KEY,
-        F.try_element_at("quality_scores", F.lit("company")).alias("rule_score"),
-        "is_valid",
-        "overall_status",
+    score = F.col("valid_fields") / F.col("fields")
+    return with_counts(companies, "company", style).select(
+        *companies.columns, score.alias("rule_score"), (score >= threshold_of("company")).alias("is_valid")
     )
-    return companies.join(scored, ENTITY_KEY, "left")
