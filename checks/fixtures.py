@@ -20,7 +20,7 @@ def entities(spark, folder) -> DataFrame:
         """CASE c_custkey % 3
              WHEN 0 THEN concat('  ', upper(c_name), '   ', c_mktsegment, ' ')
              WHEN 1 THEN concat(lower(c_name), '\t', lower(c_mktsegment))
-             ELSE concat(c_name, ' ', c_mktsegment, '\n') END AS entity_name""",
+             ELSE concat(c_name, '\u00a0', c_mktsegment, '\n') END AS entity_name""",
         "CASE WHEN c_custkey % 17 = 0 THEN 'n/a' ELSE cast(2000 + c_custkey % 25 AS STRING) END AS grant_year",
         "c_custkey AS ordinal",
     )
@@ -131,7 +131,7 @@ def dirty_names(spark, folder) -> DataFrame:
     return table(spark, folder, "part").selectExpr(
         "p_partkey",
         """CASE p_partkey % 5 WHEN 0 THEN upper(p_name) WHEN 1 THEN concat(' ', replace(p_name, ' ', '   '), ' ')
-             WHEN 2 THEN replace(p_name, ' ', '\t') WHEN 3 THEN concat(' ', replace(p_name, ' ', ' '), '\n')
+             WHEN 2 THEN replace(p_name, ' ', '\t') WHEN 3 THEN concat('\u00a0', replace(p_name, ' ', '\u00a0'), '\n')
              ELSE '' END AS dirty""",
     )
 
