@@ -158,9 +158,11 @@ def funding_rows(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     cannot be read; a round without an amount stays, with none.
     """
     rounds = profiles.select("entity_id", F.posexplode("funding_rounds").alias("ordinal", "_round"))
-    given = F.coalesce(F.nullif(F.col("_round.amount_inr"), F.lit("")), F.col("_round.amount"))
-    # A zero amount counts as not given.
-    given = F.when(given != "0", given)
+    amount = F.col("_round.amount_inr")
+    # An empty text or the number zero counts as not given; the text "0" is zero.
+    kind = F.schema_of_variant(F.try_variant_get("_round.raw", "$.amount_inr", "variant"))
+    not_given = (amount == "") | ((amount == "0") & (kind != "STRING"))
+    given = F.coalesce(F.when(~not_given, amount), F.col("_round.amount"))
     read = rounds.select(
         F.col("entity_id").alias(ENTITY_KEY),
         F.col("_round.stage").alias("stage"),
