@@ -158,9 +158,9 @@ def funding_rows(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     cannot be read; a round without an amount stays, with none.
     """
     rounds = profiles.select("entity_id", F.posexplode("funding_rounds").alias("ordinal", "_round"))
-    amount = F.col("_round.amount_inr")
+    amount = F.try_variant_get("_round.amount_inr", "$", "string")
     # An empty text or the number zero counts as not given; the text "0" is zero.
-    kind = F.schema_of_variant(F.try_variant_get("_round.raw", "$.amount_inr", "variant"))
+    kind = F.schema_of_variant("_round.amount_inr")
     not_given = (amount == "") | ((amount == "0") & (kind != "STRING"))
     given = F.coalesce(F.when(~not_given, amount), F.col("_round.amount"))
     read = rounds.select(
@@ -175,16 +175,17 @@ def funding_rows(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("_round.source_url").alias("source_url"),
         F.col("ordinal").cast("bigint").alias("ordinal"),
         given.alias("_given"),
-        F.col("_round.raw").alias("raw"),
+        F.col("_round").alias("_round"),
     )
-    no_object = ~F.coalesce(F.schema_of_variant("raw").startswith("OBJECT"), F.lit(False))
+    item = F.col("_round._item")
+    no_object = F.col("_round").isNull() | ~F.coalesce(F.schema_of_variant(item).startswith("OBJECT"), F.lit(True))
     bad = F.when(no_object, "round is no object").when(
         fn.is_filled(F.col("_given")) & F.col("amount_inr").isNull(), "amount cannot be read"
     )
     marked = read.withColumn("reason", bad)
-    rows = marked.where("reason is null").drop("reason", "raw", "_given")
+    rows = marked.where("reason is null").drop("reason", "_round", "_given")
     lost = marked.where("reason is not null")
-    return rows, lost.select(ENTITY_KEY, "ordinal", "reason", F.to_json("raw").alias("raw"))
+    return rows, lost.select(ENTITY_KEY, "ordinal", "reason", F.coalesce(F.to_json(item), F.to_json("_round")).alias("raw"))
 
 
 def news_rows(news: DataFrame, load_date: Column) -> DataFrame:
