@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.registry import query
 from quorate.operators import feeds
-from quorate.operators.bundle import extract_bundle, news_with_fallback
+from quorate.operators.bundle import all_rejects, extract_bundle, news_with_fallback
 from quorate.operators.html_sections import extract_sections
 from quorate.operators.profiles import SCALARS, parse_profiles
 from quorate.operators.prompts import build_prompts
@@ -301,6 +301,7 @@ def x15(spark, folder):
         .unionByName(landed(fx.profile_landing(spark, folder), "profile", as_json))
     )
     items, rejects = extract_bundle(landing)
+    rejects = all_rejects(items, rejects)
     filled = items["profiles"].where("extraction_score > 0")
 
     def counted(df, source, kind):
