@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,19 +15,7 @@ from quorate.functions.registration import LOOSE_NUMBER, NUMBER_LENGTH, normalis
 from quorate.functions.urls import URL_PATTERN, has_scheme
 from quorate.operators.rules import MESSAGES, SEVERITIES, FieldRule, rule_set
 
-INFO, WARNING, ERROR, _ = SEVERITIES
-
-
-@dataclass(frozen=True)
-class Verdict:
-    """Column expressions of one rule on one column."""
-
-    rule: FieldRule
-    value: Column
-    valid: Column
-    severity: Column
-    message: Column
-    suggested: Column
+INFO, WARNING, ERROR, CRITICAL = SEVERITIES
 
 
 def _say(key: str, **given) -> Column:
@@ -56,24 +44,59 @@ def _type_name(dtype: T.DataType) -> str:
     return dtype.typeName()
 
 
+@dataclass(frozen=True)
+class _Case:
+    when: Column | None
+    valid: bool
+    severity: str
+    message: str
+    suggested: Column | None
+    given: dict
+
+
 class _Cases:
-    """Ordered outcomes, first hit wins, kept as one chain per result column."""
+    """Ordered outcomes, the first that applies wins; the last has no condition."""
 
     def __init__(self):
-        self.cases: list[tuple[Column | None, bool, str, Column, Column]] = []
+        self.cases: list[_Case] = []
 
-    def add(self, when: Column | None, valid: bool, severity: str, message: Column, suggested: Column | None = None):
-        none = F.lit(None).cast("string")
-        self.cases.append((when, valid, severity, message, none if suggested is None else suggested))
-        return self
+    def add(self, when: Column | None, valid: bool, severity: str, message: str, suggested=None, **given) -> None:
+        self.cases.append(_Case(when, valid, severity, message, suggested, given))
 
-    def column(self, part: int) -> Column:
+    def pick(self, part: Callable[[_Case], Column]) -> Column:
         *first, last = self.cases
-        pick = (lambda c: F.lit(c[part])) if part in (1, 2) else (lambda c: c[part])
         if not first:
-            return pick(last)
-        chain = reduce(lambda ch, c: ch.when(c[0], pick(c)), first[1:], F.when(first[0][0], pick(first[0])))
-        return chain.otherwise(pick(last))
+            return part(last)
+        chain = F.when(first[0].when, part(first[0]))
+        for case in first[1:]:
+            chain = chain.when(case.when, part(case))
+        return chain.otherwise(part(last))
+
+
+@dataclass(frozen=True)
+class Verdict:
+    """One rule on one column; each part is an expression of its own, made when
+    it is asked for, as scores need no messages."""
+
+    rule: FieldRule
+    value: Column
+    cases: _Cases
+
+    @property
+    def valid(self) -> Column:
+        return self.cases.pick(lambda c: F.lit(c.valid))
+
+    @property
+    def severity(self) -> Column:
+        return self.cases.pick(lambda c: F.lit(c.severity))
+
+    @property
+    def message(self) -> Column:
+        return self.cases.pick(lambda c: _say(c.message, **c.given))
+
+    @property
+    def suggested(self) -> Column:
+        return self.cases.pick(lambda c: F.lit(None).cast("string") if c.suggested is None else c.suggested)
 
 
 def _is_text(dtype: T.DataType) -> bool:
@@ -82,73 +105,73 @@ def _is_text(dtype: T.DataType) -> bool:
 
 def _string(rule: FieldRule, c: Column, dtype, cases: _Cases) -> None:
     if not _is_text(dtype):
-        cases.add(None, False, ERROR, _say("no_string", type=_type_name(dtype)))
+        cases.add(None, False, ERROR, "no_string", type=_type_name(dtype))
         return
     length = F.length(c)
     if rule.min_length:
-        cases.add(length < rule.min_length, False, ERROR, _say("too_short", limit=rule.min_length, got=length))
+        cases.add(length < rule.min_length, False, ERROR, "too_short", limit=rule.min_length, got=length)
     if rule.max_length is not None:
-        long = _say("too_long", limit=rule.max_length, got=length)
-        cases.add(length > rule.max_length, False, ERROR, long, F.substring(c, 1, rule.max_length))
+        cut = F.substring(c, 1, rule.max_length)
+        cases.add(length > rule.max_length, False, ERROR, "too_long", cut, limit=rule.max_length, got=length)
     if rule.pattern:
-        cases.add(~c.rlike(rule.pattern), False, ERROR, _say("no_match"))
-    cases.add(None, True, INFO, _say("string_ok"))
+        cases.add(~c.rlike(rule.pattern), False, ERROR, "no_match")
+    cases.add(None, True, INFO, "string_ok")
 
 
 def _url(rule: FieldRule, c: Column, dtype, cases: _Cases) -> None:
     if not _is_text(dtype):
-        cases.add(None, False, ERROR, _say("no_string_url", type=_type_name(dtype)))
+        cases.add(None, False, ERROR, "no_string_url", type=_type_name(dtype))
         return
     suggested = F.concat(F.lit("https://"), c)
-    cases.add(c.rlike(URL_PATTERN), True, INFO, _say("url_ok"))
-    cases.add(~has_scheme(c) & suggested.rlike(URL_PATTERN), False, WARNING, _say("no_scheme"), suggested)
-    cases.add(None, False, ERROR, _say("bad_url"))
+    cases.add(c.rlike(URL_PATTERN), True, INFO, "url_ok")
+    cases.add(~has_scheme(c) & suggested.rlike(URL_PATTERN), False, WARNING, "no_scheme", suggested)
+    cases.add(None, False, ERROR, "bad_url")
 
 
 def _registration(rule: FieldRule, c: Column, dtype, cases: _Cases) -> None:
     if not _is_text(dtype):
-        cases.add(None, False, ERROR, _say("no_string_number", type=_type_name(dtype)))
+        cases.add(None, False, ERROR, "no_string_number", type=_type_name(dtype))
         return
     number = normalise_number(c)
-    cases.add(F.length(number) != NUMBER_LENGTH, False, ERROR, _say("number_length", got=F.length(number)))
-    cases.add(~number.rlike(LOOSE_NUMBER), False, ERROR, _say("bad_number"))
-    cases.add(None, True, INFO, _say("number_ok"), F.when(number != c, number))
+    cases.add(F.length(number) != NUMBER_LENGTH, False, ERROR, "number_length", got=F.length(number))
+    cases.add(~number.rlike(LOOSE_NUMBER), False, ERROR, "bad_number")
+    cases.add(None, True, INFO, "number_ok", F.when(number != c, number))
 
 
 def _date(rule: FieldRule, c: Column, dtype, cases: _Cases) -> None:
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        cases.add(None, True, INFO, _say("date_ok"))
+        cases.add(None, True, INFO, "date_ok")
     elif _is_text(dtype):
         date = parse_record_date(c)
-        cases.add(date.isNotNull(), True, INFO, _say("date_text_ok"), date.cast("string"))
-        cases.add(None, False, ERROR, _say("bad_date"))
+        cases.add(date.isNotNull(), True, INFO, "date_text_ok", date.cast("string"))
+        cases.add(None, False, ERROR, "bad_date")
     else:
-        cases.add(None, False, ERROR, _say("no_date", type=_type_name(dtype)))
+        cases.add(None, False, ERROR, "no_date", type=_type_name(dtype))
 
 
 def _numeric(rule: FieldRule, c: Column, dtype, cases: _Cases) -> None:
     if isinstance(dtype, T.NumericType):
-        cases.add(None, True, INFO, _say("numeric_ok"))
+        cases.add(None, True, INFO, "numeric_ok")
     elif _is_text(dtype):
-        cases.add(c.try_cast("decimal(38,9)").isNotNull(), True, INFO, _say("numeric_ok"))
-        cases.add(None, False, ERROR, _say("no_number"))
+        cases.add(c.try_cast("decimal(38,9)").isNotNull(), True, INFO, "numeric_ok")
+        cases.add(None, False, ERROR, "no_number")
     else:
-        cases.add(None, False, ERROR, _say("no_number"))
+        cases.add(None, False, ERROR, "no_number")
 
 
 def _year(rule: FieldRule, c: Column, dtype, cases: _Cases) -> None:
     if isinstance(dtype, (T.NumericType, T.StringType, T.NullType)):
-        cases.add(c.cast("string").rlike(r"^[0-9]{4}\z"), True, INFO, _say("year_ok"))
-    cases.add(None, False, ERROR, _say("bad_year"))
+        cases.add(c.cast("string").rlike(r"^[0-9]{4}\z"), True, INFO, "year_ok")
+    cases.add(None, False, ERROR, "bad_year")
 
 
 def _boolean(rule: FieldRule, c: Column, dtype, cases: _Cases) -> None:
     if isinstance(dtype, T.BooleanType):
-        cases.add(None, True, INFO, _say("boolean_ok"))
+        cases.add(None, True, INFO, "boolean_ok")
         return
     if _is_text(dtype):
-        cases.add(F.lower(c).isin("true", "false"), True, INFO, _say("boolean_ok"))
-    cases.add(None, False, ERROR, _say("no_boolean"))
+        cases.add(F.lower(c).isin("true", "false"), True, INFO, "boolean_ok")
+    cases.add(None, False, ERROR, "no_boolean")
 
 
 _KINDS = {
@@ -170,18 +193,18 @@ def judge(df: DataFrame, rule: FieldRule) -> Verdict:
     cases = _Cases()
     empty = c.isNull() | (c == "") if _is_text(dtype) else c.isNull()
     if rule.required:
-        cases.add(empty, False, ERROR, _say("missing", field=rule.field))
+        cases.add(empty, False, ERROR, "missing", field=rule.field)
     else:
-        cases.add(empty, True, INFO, _say("empty"))
+        cases.add(empty, True, INFO, "empty")
     if known:
         _KINDS[rule.kind](rule, c, dtype, cases)
     else:
-        cases.cases = [(None, *cases.cases[0][1:])]
-    valid = cases.column(1)
-    value = c.cast("string")
+        cases.cases = [replace(cases.cases[0], when=None)]
+    verdict = Verdict(rule, c.cast("string"), cases)
     if rule.kind == "registration" and known and _is_text(dtype):
-        value = F.when(~empty & valid, normalise_number(c)).otherwise(value)
-    return Verdict(rule, value, valid, cases.column(2), cases.column(3), cases.column(4))
+        normal = F.when(~empty & verdict.valid, normalise_number(c)).otherwise(verdict.value)
+        return replace(verdict, value=normal)
+    return verdict
 
 
 def judge_all(df: DataFrame, entity_type: str, style: str = "typed") -> list[Verdict]:
@@ -210,6 +233,12 @@ def validate(
     return df.select(*keys, F.lit(entity_type).alias("entity_type"), F.inline(F.array(*lines)))
 
 
+def _mark(case: _Case) -> int:
+    if case.valid:
+        return 0
+    return {ERROR: 1, CRITICAL: 1, WARNING: 2}.get(case.severity, 3)
+
+
 def with_counts(df: DataFrame, entity_type: str, style: str = "typed") -> DataFrame:
     """Add to every row its numbers of fields, valid fields, errors and
     warnings, without building the long table.
@@ -219,8 +248,7 @@ def with_counts(df: DataFrame, entity_type: str, style: str = "typed") -> DataFr
     """
     marks = []
     for v in judge_all(df, entity_type, style):
-        grave = v.severity.isin("error", "critical")
-        marks.append(F.when(v.valid, 0).when(grave, 1).when(v.severity == WARNING, 2).otherwise(3))
+        marks.append(v.cases.pick(lambda c: F.lit(_mark(c))))
     marked = df.select("*", F.explode(F.array(F.array(*marks))).alias("_marks"))
 
     def marked_as(mark: int) -> Column:
