@@ -18,7 +18,7 @@ DAY = "yyyy-MM-dd"
 
 @query(
     "s1_entity_list",
-    f"""SELECT 'C/' || c_custkey AS entity_id, CASE WHEN c_custkey % 17 <> 0 THEN {fx.SQL_YEAR} END AS grant_year,
+    f"""SELECT 'C/' || c_custkey AS entity_id, CASE WHEN c_custkey % 17 <> 0 THEN ({fx.SQL_YEAR})::INTEGER END AS grant_year,
           CASE WHEN c_custkey % 17 = 0 THEN 'year is not a number' END AS reason FROM customer""",
 )
 def s1(spark, folder):
@@ -39,7 +39,7 @@ def s1(spark, folder):
 
 @query(
     "s2_pilot_limit",
-    f"""SELECT 'C/' || c_custkey AS entity_id, {fx.SQL_YEAR} AS grant_year
+    f"""SELECT 'C/' || c_custkey AS entity_id, ({fx.SQL_YEAR})::INTEGER AS grant_year
         FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT 10) WHERE c_custkey % 17 <> 0""",
 )
 def s2(spark, folder):
@@ -118,7 +118,7 @@ def x2(spark, folder):
          CASE WHEN ok THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS incorporation_date,
          CASE WHEN ok THEN o_orderpriority ELSE '' END AS location, '' AS original_awardee,
          CASE WHEN ok THEN o_orderstatus ELSE '' END AS mca_status,
-         CASE WHEN ok THEN 1 ELSE 0 END AS products, CASE WHEN ok THEN o_orderkey % 3 + 1 ELSE 0 END AS rounds
+         CASE WHEN ok THEN 1 ELSE 0 END AS products, CASE WHEN ok THEN (o_orderkey % 3 + 1)::INTEGER ELSE 0 END AS rounds
        FROM (SELECT *, o_orderkey % 5 <> 4 AS ok FROM orders)""",
 )
 def x3(spark, folder):

@@ -166,7 +166,9 @@ def funding_rows(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     read = rounds.select(
         F.col("entity_id").alias(ENTITY_KEY),
         F.col("_round.stage").alias("stage"),
-        fn.parse_amount(given).alias("amount_inr"),
+        # By way of a generator: the two filters below would otherwise each
+        # read the amount's text again.
+        F.explode(F.array(fn.parse_amount(given))).alias("amount_inr"),
         F.col("_round.source_name").alias("source_name"),
         F.col("_round.source_type").alias("source_type"),
         F.col("_round.funding_type").alias("funding_type"),
