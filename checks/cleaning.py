@@ -99,7 +99,7 @@ def c8(spark, folder):
 )
 def c9(spark, folder):
     rule = Rule("text", "text", "short", {"max_length": 200})
-    clean, _ = standardize(fx.table(spark, folder, "documents"), [rule])
+    clean, _ = standardize(fx.spread_table(spark, folder, "documents"), [rule])
     return clean.select("doc_id", "short")
 
 

@@ -137,7 +137,7 @@ SITE = {"team": "nav li", "advisors": ".ad", "products": "h1", "patents": "h1",
 
 
 def _site(spark, folder):
-    pages = fx.table(spark, folder, "pages").selectExpr("concat('P/', page_id % 50) AS entity_id", "html AS body")
+    pages = fx.spread_table(spark, folder, "pages").selectExpr("concat('P/', page_id % 50) AS entity_id", "html AS body")
     return extract_sections(pages, "body", SITE)
 
 

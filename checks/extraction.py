@@ -166,7 +166,7 @@ _SQL_TEXT = "replace(replace(replace({0}, '&quot;', '\"'), '&copy;', '©'), '&am
 )
 def x6(spark, folder):
     sections = {"title": "h1", "ads": ".ad", "nav": "nav li"}
-    return extract_sections(fx.table(spark, folder, "pages"), "html", sections, ("page_id",))
+    return extract_sections(fx.spread_table(spark, folder, "pages"), "html", sections, ("page_id",))
 
 
 @query(

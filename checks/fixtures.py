@@ -13,6 +13,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows are costly to parse. The driver's small files are one
+    split each, which would keep one core busy and the others idle; a table
+    with a split per core or more is taken as it is, without a shuffle."""
+    rows = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def entities(spark, folder) -> DataFrame:
     """Entity list with untidy names and, now and then, a junk year."""
     return table(spark, folder, "customer").selectExpr(
@@ -33,7 +42,7 @@ SQL_YEAR = "2000 + c_custkey % 25"
 
 def observations_wide(spark, folder) -> DataFrame:
     """Source rows: one order is one source's view of its customer."""
-    return table(spark, folder, "orders").selectExpr(
+    return spread_table(spark, folder, "orders").selectExpr(
         "concat('C/', o_custkey) AS entity_id",
         "o_orderkey AS source_rank",
         "CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE concat('site-', lower(o_orderstatus), '.example.org') END AS website_url",
@@ -99,7 +108,7 @@ def profile_landing(spark, folder) -> DataFrame:
     """Profile texts, one per order: clean JSON, JSON with white space or prose
     around it, and (every fifth) cut off."""
     return (
-        table(spark, folder, "orders")
+        spread_table(spark, folder, "orders")
         .selectExpr(
             "concat('C/', o_custkey) AS entity_id",
             "o_orderkey AS payload_id",
@@ -207,7 +216,7 @@ SQL_NUMBER = "'U' || lpad((c_custkey % 100000)::VARCHAR, 5, '0') || 'MH' || (200
 
 def patent_landing(spark, folder) -> DataFrame:
     """Patent search answers, one per part: JSON for even keys, HTML for odd."""
-    return table(spark, folder, "part").selectExpr(
+    return spread_table(spark, folder, "part").selectExpr(
         "concat('C/', p_partkey % 100) AS entity_id",
         "p_partkey AS payload_id",
         "CASE WHEN p_partkey % 2 = 0 THEN 'Application/JSON; charset=utf-8' ELSE 'text/html' END AS content_type",
@@ -224,7 +233,7 @@ def patent_landing(spark, folder) -> DataFrame:
 
 def publication_landing(spark, folder) -> DataFrame:
     """Publication answers, one per order; every ninth is no JSON."""
-    return table(spark, folder, "orders").selectExpr(
+    return spread_table(spark, folder, "orders").selectExpr(
         "concat('C/', o_custkey) AS entity_id",
         "o_orderkey AS payload_id",
         """CASE WHEN o_orderkey % 9 = 0 THEN '<error/>' ELSE
@@ -238,7 +247,7 @@ def news_landing(spark, folder) -> DataFrame:
     """News answers per order: a JSON feed and an RSS feed of the same items,
     with the JSON one good, empty, broken or refused by key."""
     return (
-        table(spark, folder, "orders")
+        spread_table(spark, folder, "orders")
         .selectExpr(
             "concat('C/', o_custkey) AS entity_id",
             "o_orderkey AS payload_id",

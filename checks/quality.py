@@ -20,6 +20,7 @@ from quorate.operators.report import (
 )
 from quorate.operators.rules import RULE_SETS, rule_set
 from quorate.operators.validate import apply_suggestions, judge, row_counts, row_validity, validate
+from quorate.sources import new_folder, stage
 
 ROW = ("row_id",)
 
@@ -348,7 +349,9 @@ def v16(spark, folder):
 )
 def v17(spark, folder):
     payloads = _payloads(spark, folder)
-    passed, held = gate(payloads, profile_report(payloads))
+    # As in a run, the report is staged: every table's gate reads it.
+    report = stage(profile_report(payloads), new_folder(spark, "gate"), "report")
+    passed, held = gate(payloads, report)
     parts = [
         tables[name].select(F.lit(name).alias("payload"), "big_award_id", F.lit(flag).alias("passed"))
         for name in ("people", "funding_rounds")
