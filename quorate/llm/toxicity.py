@@ -7,8 +7,8 @@ not, is unlabelled. With the class prior pi the risk of a classifier is
 
 and when the second term falls below zero, the step is taken the other way, so
 that the classifier can't explain positives away as noise. Three linear
-classifiers over hashed words, with hashes and seeds of their own, are fitted
-in numpy on a bounded sample and their probabilities averaged.
+classifiers over words are fitted in numpy, each on its own resampling of a
+bounded sample, and their probabilities averaged.
 """
 
 from __future__ import annotations
@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 
 from quorate.llm.common import bounded_labels, held_out, map_rows, normal
 
-WIDTH = 1 << 17
 SEEDS = (11, 23, 47)
+SUPPORT = 0.05  # share of the confirmed texts in which a word must stand to count
+DECAY = 1e-4  # of the weights
+LIFT = 2.5  # and by how much that share must exceed its share of all texts
 _WORD = re.compile(rb"[a-z\x80-\xff]+|[0-9]+|[^\sa-z0-9\x80-\xff]+")
 
 
-class _Columns(dict):
-    """Hash of a word, of which every classifier takes its own column."""
-
+class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > 1_000_000:
             self.clear()
@@ -39,7 +39,7 @@ class _Columns(dict):
         return number
 
 
-_HASH_OF = _Columns()
+_HASH_OF = _Hashes()
 
 
 def words_of(text: str) -> np.ndarray:
@@ -48,21 +48,38 @@ def words_of(text: str) -> np.ndarray:
     return np.fromiter(map(_HASH_OF.__getitem__, words), "i8", len(words))
 
 
-def columns(hashes: np.ndarray, seed: int) -> np.ndarray:
-    mixed = hashes.astype("u8") * np.uint64(2 * seed + 0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - 17)).astype("i8")
+def choose_words(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    """Sorted hashes of the words that classifiers look at. Words of few
+    confirmed texts tell the sample, not the class, and words that are as
+    usual in other text tell nothing."""
+    found, seen = np.unique(np.concatenate([np.zeros(0, "i8"), *positive]), return_counts=True)
+    if not len(found):
+        return found
+    other = np.concatenate([np.zeros(0, "i8"), *unlabelled])
+    usual = np.bincount(columns(other, found), minlength=len(found) + 1)[:-1]
+    seen, usual = seen / len(positive), usual / max(1, len(unlabelled))
+    return found[(seen >= SUPPORT) & (seen >= LIFT * usual)]
+
+
+def columns(hashes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Place of each word among the chosen ones; their number for others."""
+    if not len(chosen):
+        return np.zeros(len(hashes), "i8")
+    at = np.searchsorted(chosen, hashes)
+    at[at == len(chosen)] = 0
+    return np.where(chosen[at] == hashes, at, len(chosen))
 
 
 class Linear:
-    """Logistic classifier over presence of words. Weights are sums over
-    words, not means: a few telling words count alike in a long text."""
+    """Logistic classifier over presence of words. The score is a sum over
+    words, not a mean: a few telling words count alike in a long text."""
 
-    def __init__(self, seed: int):
-        self.seed, self.weights, self.bias = seed, np.zeros(WIDTH), 0.0
+    def __init__(self, chosen: np.ndarray):
+        self.chosen, self.weights, self.bias = chosen, np.zeros(len(chosen) + 1), 0.0
 
     def logits(self, hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
         """``firsts`` are the places of each document's first word and the end."""
-        picked = np.concatenate([[0.0], np.cumsum(self.weights[columns(hashes, self.seed)])])
+        picked = np.concatenate([[0.0], np.cumsum(self.weights[columns(hashes, self.chosen)])])
         return picked[firsts[1:]] - picked[firsts[:-1]] + self.bias
 
 
@@ -70,49 +87,42 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int, epochs: int = 30) -> Linear:
-    """Minimise the non-negative risk with logistic loss by Adam. Without
-    positives or unlabelled texts the model is the prior."""
-    model = Linear(seed)
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int, steps: int = 800) -> Linear:
+    """Minimise the non-negative risk with logistic loss by Adam, on resampled
+    rows. Without positives or unlabelled texts the model is the prior."""
     prior = min(max(prior, 1e-3), 0.999)
+    model = Linear(choose_words(positive, unlabelled))
+    model.bias = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
-        model.bias = float(np.log(prior / (1 - prior)))
         return model
     random = np.random.default_rng(seed)
-    model.bias = float(np.log(prior / (1 - prior)))
-    w, m, s, t = model.weights, np.zeros(WIDTH), np.zeros(WIDTH), 0
-    mb = sb = 0.0
-    positive = [np.unique(columns(d, seed)) for d in positive]
-    unlabelled = [np.unique(columns(d, seed)) for d in unlabelled]
-    steps = max(1, len(unlabelled) // 256)
-    for epoch in range(epochs):
-        rate = 0.05 * (1 - epoch / epochs) + 0.002
-        pos, unl = random.permutation(len(positive)), random.permutation(len(unlabelled))
-        for p_rows, u_rows in zip(np.array_split(pos, steps) if len(pos) >= steps else [pos] * steps, np.array_split(unl, steps)):
-            p = [positive[i] for i in p_rows]
-            u = [unlabelled[i] for i in u_rows]
-            score = lambda rows: np.array([w[r].sum() for r in rows]) + model.bias
-            zp, zu = score(p), score(u)
-            negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            # Slopes of the mean losses with regard to the scores.
-            down_u, down_p = _sigmoid(zu) / len(u), _sigmoid(zp) / len(p)
-            if negative >= 0:
-                gp, gu = -prior * _sigmoid(-zp) / len(p) - prior * down_p, down_u
-            else:
-                gp, gu = prior * down_p, -down_u
-            slope = np.bincount(
-                np.concatenate([*p, *u]),
-                np.concatenate([np.repeat(gp, [len(r) for r in p]), np.repeat(gu, [len(r) for r in u])]),
-                WIDTH,
-            ) + 1e-5 * w
-            t += 1
-            m += 0.1 * (slope - m)
-            s += 0.01 * (slope * slope - s)
-            w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-6)
-            g = gp.sum() + gu.sum()
-            mb += 0.1 * (g - mb)
-            sb += 0.01 * (g * g - sb)
-            model.bias -= rate * (mb / (1 - 0.9**t)) / (np.sqrt(sb / (1 - 0.99**t)) + 1e-6)
+
+    def design(rows: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(rows), len(model.chosen) + 1))
+        for line, row in zip(out, rows):
+            line[columns(row, model.chosen)] = 1
+        out[:, -1] = 1  # the last column, of all other words, is the bias
+        return out[random.integers(0, len(rows), len(rows))]
+
+    x_pos, x_unl = design(positive), design(unlabelled)
+    w = np.zeros(x_pos.shape[1])
+    w[-1] = model.bias
+    m, s = np.zeros_like(w), np.zeros_like(w)
+    for step in range(steps):
+        rate = 0.05 * (1 - step / steps) + 0.002
+        zp, zu = x_pos @ w, x_unl @ w
+        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        # Slopes of the mean losses with regard to the scores.
+        down_u, down_p = _sigmoid(zu) / len(zu), _sigmoid(zp) / len(zp)
+        if negative >= 0:
+            slope = x_pos.T @ (-prior * _sigmoid(-zp) / len(zp) - prior * down_p) + x_unl.T @ down_u
+        else:
+            slope = x_pos.T @ (prior * down_p) - x_unl.T @ down_u
+        slope[:-1] += DECAY * w[:-1]
+        m += 0.1 * (slope - m)
+        s += 0.01 * (slope * slope - s)
+        w -= rate * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(s / (1 - 0.99 ** (step + 1))) + 1e-6)
+    model.weights[:-1], model.bias = w[:-1], float(w[-1])
     return model
 
 
