@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorate.llm import bpe, exact_dedup, quality, token_files, toxicity
+from quorate.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, token_files, toxicity
 from quorate.llm.common import held_out, table
 
 
@@ -29,20 +29,64 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=2, similarity=80)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_files": op3_token_files,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_decontaminate": op6_decontaminate,
     "op8_toxicity": op8_toxicity,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES = {
+    "op6_decontaminate": r"""
+        WITH doc_words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), item_words AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS n,
+                unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ') FOR i IN range(1, len(w) - least(10, len(w)) + 2)]) AS words
+            FROM item_words WHERE len(w) > 0
+        ), places AS (
+            SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS at, w
+            FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+        ), found AS (
+            SELECT doc_id, at, p.n, item_id FROM places p JOIN windows v
+            ON p.n = v.n AND array_to_string(w[at:at + p.n - 1], ' ') = v.words
+        ), hit AS (
+            SELECT doc_id, count(DISTINCT pos) AS n_hit
+            FROM (SELECT doc_id, unnest(range(at, at + n)) AS pos FROM found) GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS items
+            FROM found GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
     "op5_exact_dedup": """
         WITH normal AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
