@@ -43,16 +43,16 @@ def _bit(h: Column) -> Column:
     return h.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
 
 
-def _bitmap(hashes: DataFrame) -> list[int]:
-    """The bits of all hashes, as 64-bit numbers: a table of fixed size."""
-    bit = _bit(F.col("h"))
-    word = F.shiftright(bit, 6).cast("int").alias("word")
-    mask = F.expr("shiftleft(1L, int(h & 63L))").alias("mask")
-    rows = hashes.select(word, mask).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+def _bitmap(hashes: DataFrame) -> Column:
+    """The bits of all hashes as an array of 64-bit numbers. The driver sees
+    as many rows as the array has places at most, whatever the benchmark."""
+    word = F.shiftright(_bit(F.col("h")), 6).cast("int").alias("word")
+    rows = hashes.select(word, F.expr("shiftleft(1L, int(h & 63L))").alias("mask"))
     out = [0] * (1 << (FILTER_BITS - 6))
-    for row in rows.toLocalIterator():  # as many rows as the bitmap has words at most
+    for row in rows.groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
         out[row["word"]] = row["mask"]
-    return out
+    # One literal, which Spark folds into an array when it plans.
+    return F.split(F.lit(",".join(map(str, out))), ",").cast("array<bigint>")
 
 
 def decontaminate(
@@ -84,7 +84,7 @@ def decontaminate(
     text = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
     hits = F.array().cast("array<struct<at:int,h:bigint,first:int,context:array<string>>>")
     if sizes:
-        bits = F.array([F.lit(b).cast("bigint") for b in _bitmap(placed.select("h"))])
+        bits = _bitmap(placed.select("h"))
         last = window + SHINGLE
 
         def may_hit(h: Column) -> Column:

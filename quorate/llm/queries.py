@@ -70,14 +70,14 @@ ORACLES = {
                 unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ') FOR i IN range(1, len(w) - least(10, len(w)) + 2)]) AS words
             FROM item_words WHERE len(w) > 0
         ), places AS (
-            SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS at, w
+            SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS place, w
             FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
         ), found AS (
-            SELECT doc_id, at, p.n, item_id FROM places p JOIN windows v
-            ON p.n = v.n AND array_to_string(w[at:at + p.n - 1], ' ') = v.words
+            SELECT doc_id, place, p.n, item_id FROM places p JOIN windows v
+            ON p.n = v.n AND array_to_string(w[place:place + p.n - 1], ' ') = v.words
         ), hit AS (
             SELECT doc_id, count(DISTINCT pos) AS n_hit
-            FROM (SELECT doc_id, unnest(range(at, at + n)) AS pos FROM found) GROUP BY doc_id
+            FROM (SELECT doc_id, unnest(range(place, place + n)) AS pos FROM found) GROUP BY doc_id
         ), named AS (
             SELECT doc_id, count(DISTINCT item_id) AS n_items,
                 array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS items
