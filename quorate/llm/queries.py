@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorate.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, token_files, toxicity
+from quorate.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, secrets, token_files, toxicity
 from quorate.llm.common import held_out, table
 
 
@@ -24,6 +24,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -47,6 +53,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_files": op3_token_files,
+    "op4_secrets": op4_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op8_toxicity": op8_toxicity,
