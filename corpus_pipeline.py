@@ -1,8 +1,72 @@
-"""Corpus pipeline: quality, exact copies, near copies, benchmark, tokens."""
+"""Corpus pipeline: from raw documents to token ids.
 
-STAGES = []
+``STAGES`` are applied in order. Each takes (spark, docs, sf_dir) and returns
+a DataFrame; the caller writes it as Parquet and reads it again as the next
+one's documents. All but the last keep the columns of ``docs``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quorate.llm import bpe, decontaminate, exact_dedup, near_dedup, quality
+from quorate.llm.common import Stage, table
+
+#: A quality model is a neural net fitted here; SQL can't say it.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of equal texts."""
+    return exact_dedup.drop_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies:
+    five-word shingles, similarity 0.8 or more."""
+    return near_dedup.drop_near_copies(docs, k=5, similarity=80)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit), and the digests
+    of ids and of the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode_documents(docs, path, public_tokenizers.PATTERN, decode=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("quality", drop_low_quality),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontaminate", drop_benchmark),
+    ("byte_bpe", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; what a stage returns is written below the
+    folder in ``spark.checkpoint.dir`` and read again."""
+    staged = Stage(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for name, work in STAGES:
+        docs = staged(work(spark, docs, sf_dir), name)
+    return docs

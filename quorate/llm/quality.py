@@ -236,3 +236,19 @@ def score_quality(docs: DataFrame, labels: DataFrame, bound: int = 20_000, thres
     rows = normal(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = map_rows(rows, work, "doc_id BIGINT, score DOUBLE")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, bound: int = 20_000, threshold: float = 0.3) -> DataFrame:
+    """``docs`` without the rows that score below ``threshold``, all columns
+    as they were. Every row is judged in place, so null ids and repeated rows
+    need no key."""
+    vectors = word_vectors(docs)
+    net = train(docs, labels, vectors, bound)
+    schema = docs.schema
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(net.probabilities(pooled(texts, vectors)) >= threshold))
+
+    return map_rows(docs, work, schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorate.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, secrets, token_files, toxicity
+from quorate.llm import bpe, decontaminate, exact_dedup, near_dedup, pii, quality, secrets, sharding, token_files, toxicity
 from quorate.llm.common import held_out, table
 
 
@@ -40,11 +40,22 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=2, similarity=80)
 
@@ -56,7 +67,9 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_sharding": op7_sharding,
     "op8_toxicity": op8_toxicity,
+    "op9_personal_data": op9_personal_data,
     "op10_near_dedup": op10_near_dedup,
 }
 
