@@ -48,17 +48,19 @@ def words_of(text: str) -> np.ndarray:
     return np.fromiter(map(_HASH_OF.__getitem__, words), "i8", len(words))
 
 
-def choose_words(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+def choose_words(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> np.ndarray:
     """Sorted hashes of the words that classifiers look at. Words of few
     confirmed texts tell the sample, not the class, and words that are as
-    usual in other text tell nothing."""
+    usual in other text tell nothing. No word can be more than 1 / prior times
+    as frequent in positives as in all text, so a large prior asks for less."""
     found, seen = np.unique(np.concatenate([np.zeros(0, "i8"), *positive]), return_counts=True)
     if not len(found):
         return found
     other = np.concatenate([np.zeros(0, "i8"), *unlabelled])
     usual = np.bincount(columns(other, found), minlength=len(found) + 1)[:-1]
     seen, usual = seen / len(positive), usual / max(1, len(unlabelled))
-    return found[(seen >= SUPPORT) & (seen >= LIFT * usual)]
+    lift = min(LIFT, 0.5 + 0.5 / prior)
+    return found[(seen >= SUPPORT) & (seen >= lift * usual)]
 
 
 def columns(hashes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -91,7 +93,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     """Minimise the non-negative risk with logistic loss by Adam, on resampled
     rows. Without positives or unlabelled texts the model is the prior."""
     prior = min(max(prior, 1e-3), 0.999)
-    model = Linear(choose_words(positive, unlabelled))
+    model = Linear(choose_words(positive, unlabelled, prior))
     model.bias = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return model
