@@ -22,8 +22,8 @@ from quorate.operators.load import (
     upsert,
 )
 from quorate.plans.loads import load
-from quorate.schemas import COMPANIES, FUNDING, PATENTS
-from quorate.sources import new_folder
+from quorate.schemas import COMPANIES, FUNDING, NEWS, PATENTS, PEOPLE, PUBLICATIONS
+from quorate.sources import new_folder, stage
 from quorate.store import Table
 
 NOW = datetime(2025, 3, 1, 12, 30)
@@ -46,10 +46,12 @@ def _loaded_companies(spark, folder):
 @query(
     "l1_create_and_load",
     """SELECT 'C/' || c_custkey AS big_award_id, c_name AS registered_name, 2000 + c_custkey % 25 AS big_award_year,
-         0.0::DOUBLE AS data_quality_score, '2025-03-01 12:30:00' AS created_at FROM customer""",
+         0.0::DOUBLE AS data_quality_score, '2025-03-01 12:30:00' AS created_at FROM customer
+       QUALIFY c_custkey % 10 <> 3 OR 'C/' || c_custkey = min('C/' || c_custkey) OVER (PARTITION BY c_custkey % 10 = 3, c_custkey % 40)""",
 )
 def l1(spark, folder):
-    """Make a table, open it once more (which checks its schema), load, read."""
+    """Make a table, open it once more (which checks its schema), load, read.
+    Of the companies with one registration number the first is stored."""
     root = new_folder(spark, "tables")
     Table(spark, root, COMPANIES, buckets=4).create()
     table = Table(spark, root, COMPANIES, buckets=4).create()
@@ -67,7 +69,11 @@ def l1(spark, folder):
     "l1_schema_problems",
     """SELECT 'funding_rounds' AS table_name, c AS column_name, p AS problem, n AS rows FROM (
          SELECT 'amount_inr' AS c, 'value does not fit the type' AS p, count(*) FILTER (o_orderkey % 4 = 0) AS n FROM orders
-         UNION ALL SELECT 'stage', 'text is too long', count(*) FILTER (o_orderkey % 3 = 0) FROM orders)""",
+         UNION ALL SELECT 'stage', 'text is too long', count(*) FILTER (o_orderkey % 3 = 0) FROM orders
+         UNION ALL SELECT 'stage', 'value does not fit the type', 0
+         UNION ALL SELECT 'big_award_id', 'value does not fit the type', 0
+         UNION ALL SELECT unnest(['funding_id', 'source_name', 'source_type', 'funding_type', 'announced_date', 'data_source', 'source_url',
+           'created_at', 'updated_at']), 'column is missing', count(*) FROM orders GROUP BY 1)""",
 )
 def l1_problems(spark, folder):
     rows = fx.table(spark, folder, "orders").selectExpr(
@@ -75,7 +81,7 @@ def l1_problems(spark, folder):
         "CASE WHEN o_orderkey % 3 = 0 THEN 'a very long name of a round' ELSE 'seed' END AS stage",
         "CASE WHEN o_orderkey % 4 = 0 THEN 'much' ELSE cast(o_totalprice AS STRING) END AS amount_inr",
     )
-    return schema_problems(rows, FUNDING).where("rows > 0 AND problem <> 'column is missing'")
+    return schema_problems(rows, FUNDING)
 
 
 _SQL_BATCH = """
@@ -97,7 +103,7 @@ _SQL_UPSERT = f"""WITH {_SQL_BATCH},
   SELECT natural_key, row_id, round(price, 2) AS price, note, created_at, updated_at FROM merged"""
 
 
-def _upserted(spark, folder):
+def _upserted(spark, folder, fallback=None):
     rows = upsert(
         fx.current_rows(spark, folder),
         fx.batch_rows(spark, folder),
@@ -105,6 +111,7 @@ def _upserted(spark, folder):
         ("ordinal",),
         _now(),
         keep=("created_at", "row_id"),
+        fallback=fallback,
     )
     return rows.select(
         "natural_key",
@@ -116,16 +123,25 @@ def _upserted(spark, folder):
     )
 
 
-@query("l2_upsert", f"SELECT * FROM ({_SQL_UPSERT}) WHERE natural_key IS NOT NULL")
+@query("l2_upsert", _SQL_UPSERT)
 def l2(spark, folder):
-    """Keyed rows: inserted, changed, unchanged and untouched."""
-    return _upserted(spark, folder).where("natural_key IS NOT NULL")
+    """Inserted, changed, unchanged and untouched rows, and rows that have no
+    key, which are plain inserts here."""
+    return _upserted(spark, folder)
+
 
+# Matched by their id, keyless rows are there once: the last batch row.
+_SQL_BY_ID = f"""WITH {_SQL_BATCH},
+  keyed AS (SELECT * FROM ({_SQL_UPSERT}) WHERE natural_key IS NOT NULL)
+  SELECT * FROM keyed
+  UNION ALL SELECT NULL, row_id, round(price, 2), note, '2024-01-01 00:00:00', '2024-01-01 00:00:00' FROM cur WHERE k IS NULL
+  UNION ALL SELECT NULL, row_id, round(price, 2), NULL, '2025-03-01 12:30:00', '2025-03-01 12:30:00' FROM bat WHERE k IS NULL"""
 
-@query("l4_upsert_natural_key", _SQL_UPSERT)
+
+@query("l4_upsert_natural_key", _SQL_BY_ID)
 def l4(spark, folder):
-    """The same with rows that have no natural key, which are all kept."""
-    return _upserted(spark, folder)
+    """The same with keyless rows matched by their id."""
+    return _upserted(spark, folder, fallback="row_id")
 
 
 @query(
@@ -158,6 +174,99 @@ def l5(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
+def _twice(spark, spec, batches, order=(), parents=None, dedupe_keys=()):
+    """Load every batch two times under one run name through a stored table,
+    and give the table and the rows it refused."""
+    table = Table(spark, new_folder(spark, "stored"), spec, buckets=4).create()
+    refused = []
+    for i, batch in enumerate(batches):
+        staged = stage(batch, new_folder(spark, "stored-batch"), spec.name)
+        for _ in range(2):
+            bad = load(table, staged, _now(), f"run{i}", order, dedupe_keys, parents)
+        refused.append(bad)
+    return table, reduce(DataFrame.unionByName, refused)
+
+
+@query(
+    "l2_upsert_stored",
+    """SELECT 'C/' || o_orderkey AS big_award_id, CASE WHEN o_orderkey % 2 = 0 THEN 'new ' ELSE 'old ' END || o_orderstatus AS registered_name FROM orders
+       WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0""",
+)
+def l2_stored(spark, folder):
+    """Base and delta, each twice, and the last of two rows of a key."""
+    orders = fx.table(spark, folder, "orders")
+    first = orders.where("o_orderkey % 3 <> 0").selectExpr("concat('C/', o_orderkey) AS big_award_id", "concat('old ', o_orderstatus) AS registered_name", "1 AS ordinal")
+    key = "concat('C/', o_orderkey) AS big_award_id"
+    even = orders.where("o_orderkey % 2 = 0")
+    second = even.selectExpr(key, "concat('new ', o_orderstatus) AS registered_name", "2 AS ordinal").unionByName(
+        even.selectExpr(key, "'not the last' AS registered_name", "1 AS ordinal")
+    )
+    table, _ = _twice(spark, COMPANIES, [first, second], ("ordinal",))
+    return table.read().select("big_award_id", "registered_name")
+
+
+@query(
+    "l3_replace_stored",
+    """WITH hot AS (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 400000)
+       SELECT 'C/' || o_custkey AS big_award_id, o_orderkey AS person_id, 'old' AS full_name FROM orders
+         WHERE o_orderkey % 3 <> 0 AND o_custkey NOT IN (SELECT o_custkey FROM hot)
+       UNION ALL SELECT 'C/' || o_custkey, o_orderkey, 'new' FROM orders WHERE o_totalprice > 400000""",
+)
+def l3_stored(spark, folder):
+    orders = fx.table(spark, folder, "orders")
+    columns = ["concat('C/', o_custkey) AS big_award_id", "o_orderkey AS person_id"]
+    batches = [
+        orders.where("o_orderkey % 3 <> 0").selectExpr(*columns, "'old' AS full_name"),
+        orders.where("o_totalprice > 400000").selectExpr(*columns, "'new' AS full_name"),
+    ]
+    table, _ = _twice(spark, PEOPLE, batches)
+    return table.read().select("big_award_id", "person_id", "full_name")
+
+
+@query(
+    "l4_upsert_stored",
+    """SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey::INTEGER END AS pubmed_id, o_orderkey AS publication_id,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'new' ELSE 'old' END AS title FROM orders""",
+)
+def l4_stored(spark, folder):
+    """Natural keys, some of them missing; every batch twice."""
+    orders = fx.table(spark, folder, "orders")
+    columns = ["CASE WHEN o_orderkey % 5 <> 0 THEN cast(o_orderkey AS INT) END AS pubmed_id", "o_orderkey AS publication_id"]
+    batches = [orders.selectExpr(*columns, "'old' AS title"), orders.where("o_orderkey % 2 = 0").selectExpr(*columns, "'new' AS title")]
+    table, _ = _twice(spark, PUBLICATIONS, batches)
+    return table.read().select("pubmed_id", "publication_id", "title")
+
+
+@query(
+    "l5_append_stored",
+    """SELECT o_orderkey AS news_id, 'run0' AS run FROM orders WHERE o_orderkey % 3 <> 0
+       UNION ALL SELECT o_orderkey, 'run1' FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 = 0""",
+)
+def l5_stored(spark, folder):
+    """Appends that add only keys of no other run; every attempt twice."""
+    orders = fx.table(spark, folder, "orders").selectExpr("o_orderkey AS news_id")
+    table, _ = _twice(spark, NEWS, [orders.where("news_id % 3 <> 0"), orders.where("news_id % 2 = 0")], dedupe_keys=("news_id",))
+    return table.read(with_slice=True).select("news_id", F.col("slice").alias("run"))
+
+
+@query(
+    "l7_enforced_load",
+    """WITH t AS (SELECT o_orderkey AS k, o_orderkey % 7 = 0 AS no_number, o_orderkey % 11 = 0 AS long, o_orderkey % 13 = 0 AS misfit,
+           o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0) AS owned FROM orders)
+       SELECT k AS patent_id, CASE WHEN no_number THEN 'patent_number is missing' WHEN long THEN 'patent_type is too long' WHEN misfit THEN 'filing_year does not fit its type'
+         WHEN NOT owned THEN 'parent is not there' ELSE 'stored' END AS state FROM t""",
+)
+def l7_enforced(spark, folder):
+    """Rows that a table may not hold go to the reject table."""
+    batch = fx.table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS patent_id", "concat('C/', o_custkey) AS big_award_id", "CASE WHEN o_orderkey % 7 <> 0 THEN concat('P', o_orderkey) END AS patent_number",
+        "CASE WHEN o_orderkey % 11 = 0 THEN repeat('x', 101) ELSE 'x' END AS patent_type", "CASE WHEN o_orderkey % 13 = 0 THEN 'soon' ELSE '2020' END AS filing_year",
+    )
+    parents = fx.table(spark, folder, "customer").where("c_custkey % 5 <> 0").selectExpr("concat('C/', c_custkey) AS big_award_id")
+    table, refused = _twice(spark, PATENTS, [batch], parents=parents)
+    return table.read().select("patent_id", F.lit("stored").alias("state")).unionByName(refused.select("patent_id", F.col("reason").alias("state")))
+
+
 def _outcomes(spark, folder):
     """An outcome per user: errors fail it, many views do not pass."""
     events = fx.table(spark, folder, "events")

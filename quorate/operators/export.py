@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,12 @@ def folder_name(label: str) -> str:
 
 def export_tables(spark: SparkSession, tables: list[str] | dict[str, str], path: str, fmt: str = "csv") -> list[str]:
     """Write each table (a name or SQL text, or a label with either) to a
-    folder of its own. Empty tables are left out; it is an error if all are."""
+    folder of its own. Empty tables are left out; it is an error if all are,
+    or if two labels have one folder."""
     named = tables if isinstance(tables, dict) else {t: t for t in tables}
+    folders = Counter(map(folder_name, named))
+    if shared := sorted(label for label in named if folders[folder_name(label)] > 1):
+        raise ValueError(f"labels with one folder: {', '.join(shared)}")
     written = []
     for label, source in named.items():
         df = without_zone(scan(spark, source))

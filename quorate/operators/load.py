@@ -53,12 +53,14 @@ def schema_problems(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def last_per_key(batch: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Last row of each key by ``order``; rows without a key stay as they are."""
+    """Last row of each key by ``order``; rows without a key stay as they are.
+    Rows that ``order`` leaves open are told apart by their content, so the
+    choice does not depend on how the input is dealt."""
     rest = [c for c in batch.columns if c != key]
     picked = (
         batch.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
+        .agg(F.max_by(F.struct(*rest), F.struct(*order, F.xxhash64(*rest))).alias("_last"))
         .select(key, "_last.*")
         .select(*batch.columns)
     )
@@ -73,13 +75,15 @@ def upsert(
     now: Column,
     keep: Sequence[str] = ("created_at",),
     stamp: str | None = "updated_at",
+    fallback: str | None = None,
 ) -> DataFrame:
     """Insert or overwrite by key.
 
     The last batch row of a key wins. Columns the batch lacks, and those in
     ``keep``, hold their current value; ``stamp`` is set to ``now`` only if
-    something changed. Rows with a null key are plain inserts and take no part
-    in the join, where they would all meet in one task.
+    something changed. Rows with a null key take no part in the join, where
+    they would all meet in one task: they are matched by ``fallback``, so that
+    a batch that comes twice is there once, or are plain inserts without it.
     """
     kept = [c for c in keep if c in current.columns]
     stamped = stamp if stamp in current.columns else None
@@ -111,6 +115,9 @@ def upsert(
     merged = old_rows.join(new_rows, key, "full_outer").select(
         *[value(c).cast(current.schema[c].dataType).alias(c) for c in current.columns]
     )
+    if fallback:
+        without = current.where(F.col(key).isNull()), batch.where(F.col(key).isNull())
+        return merged.unionByName(upsert(*without, fallback, order, now, keep, stamp))
     unkeyed = current.where(F.col(key).isNull()).unionByName(
         _shaped(last.where(F.col(key).isNull()), current, now, [*kept, *([stamped] if stamped else [])])
     )
@@ -155,6 +162,45 @@ def cascade_delete(
     return parents.join(gone, key, "left_anti").select(*parents.columns), kept
 
 
+def enforce(
+    df: DataFrame, spec: TableSpec, order: Sequence[str] = (), parents: DataFrame | None = None, held: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Split a batch into the rows its table may hold and the others, with a
+    ``reason``: a value that does not fit its type, a null or a text too long
+    where the table forbids it, a unique value that an earlier row (by
+    ``order`` and then key) or another key in ``held`` has, a row whose
+    parent is not in ``parents``. The table's own keys are not tested for
+    doubles, they are what a load goes by."""
+    reasons = []
+    for f in spec.schema:
+        if f.name in df.columns:
+            raw = F.col(f.name)
+            reasons.append((raw.isNotNull() & raw.try_cast(f.dataType).isNull(), f"{f.name} does not fit its type"))
+            if f.name in spec.max_length:
+                reasons.append((F.length(raw.cast("string")) > spec.max_length[f.name], f"{f.name} is too long"))
+        if f.name in spec.not_null:
+            reasons.append((F.col(f.name).isNull() if f.name in df.columns else F.lit(True), f"{f.name} is missing"))
+    marked = df.withColumn("reason", F.coalesce(*[F.when(bad, why) for bad, why in reasons], F.lit(None).cast("string")))
+    own = (spec.primary_key, spec.natural_key)
+    for c in (c for c in spec.unique if c not in own and c in df.columns):
+        # One row of each value may stay: the first key that gives it.
+        given = marked.where(F.col("reason").isNull() & F.col(c).isNotNull())
+        tie = F.struct(*order, spec.primary_key)
+        first = given.groupBy(c).agg(F.min_by(spec.primary_key, tie).alias("_owner"))
+        if held is not None:
+            taken = held.where(F.col(c).isNotNull()).groupBy(c).agg(F.min(spec.primary_key).alias("_holder"))
+            first = first.join(taken, c, "left").select(c, F.coalesce("_holder", "_owner").alias("_owner"))
+        doubled = F.col("reason").isNull() & F.col("_owner").isNotNull() & ~F.col("_owner").eqNullSafe(F.col(spec.primary_key))
+        marked = marked.join(first, c, "left").withColumn("reason", F.when(doubled, f"{c} is taken").otherwise(F.col("reason")))
+        marked = marked.select(*df.columns, "reason")
+    if parents is not None and spec.parent_key in df.columns:
+        known = parents.select(spec.parent_key).distinct().withColumn("_known", F.lit(True))
+        orphan = F.col("reason").isNull() & F.col(spec.parent_key).isNotNull() & F.col("_known").isNull()
+        marked = marked.join(known, spec.parent_key, "left").withColumn("reason", F.when(orphan, "parent is not there").otherwise(F.col("reason")))
+        marked = marked.select(*df.columns, "reason")
+    return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull())
+
+
 def check_constraints(
     df: DataFrame,
     table: str,

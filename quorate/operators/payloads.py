@@ -40,6 +40,7 @@ def company_rows(entities: DataFrame, voted: DataFrame) -> DataFrame:
         fn.clean_location(raw("location")).alias("location"),
         raw("mca_status"),
         completeness(VOTED_FIELDS).alias("data_quality_score"),
+        *([raw("ordinal").cast("bigint").alias("ordinal")] if "ordinal" in entities.columns else []),
     )
 
 

@@ -14,13 +14,18 @@ class TableSpec:
     """A target table: columns, keys and column defaults.
 
     ``defaults`` maps a column to its literal; the value ``"now"`` stands for
-    the load time, which the caller passes in once per run.
+    the load time, which the caller passes in once per run. ``mode`` says how
+    a batch is taken: ``upsert`` by the natural key, ``replace`` all rows of
+    the batch's parents, or ``append``. ``parent_key`` names the parent's key;
+    None for a table without a parent.
     """
 
     name: str
     ddl: str
     primary_key: str
     natural_key: str | None = None
+    mode: str = "append"
+    parent_key: str | None = ENTITY_KEY
     not_null: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
@@ -43,6 +48,8 @@ COMPANIES = TableSpec(
     "data_quality_score DECIMAL(3,2), created_at TIMESTAMP, updated_at TIMESTAMP",
     primary_key="big_award_id",
     natural_key="big_award_id",
+    mode="upsert",
+    parent_key=None,
     not_null=("big_award_id", "registered_name"),
     unique=("big_award_id", "cin"),
     max_length={"big_award_id": 50, "registered_name": 255, "original_awardee": 255, "cin": 50, "mca_status": 50},
@@ -53,6 +60,7 @@ PEOPLE = TableSpec(
     "person_id BIGINT, big_award_id STRING, full_name STRING, designation STRING, role_type STRING, "
     "source STRING, source_url STRING, created_at TIMESTAMP",
     primary_key="person_id",
+    mode="replace",
     not_null=("full_name",),
     max_length={"full_name": 255, "designation": 255, "role_type": 50, "source": 100},
     defaults={"created_at": "now"},
@@ -64,6 +72,7 @@ PATENTS = TableSpec(
     "jurisdiction_list STRING, source STRING, source_url STRING, created_at TIMESTAMP",
     primary_key="patent_id",
     natural_key="patent_number",
+    mode="upsert",
     not_null=("patent_number",),
     unique=("patent_number",),
     max_length={"patent_number": 100, "patent_type": 100, "source": 100},
@@ -75,6 +84,7 @@ PUBLICATIONS = TableSpec(
     "publication_year SMALLINT, citation_text STRING, source STRING, source_url STRING, created_at TIMESTAMP",
     primary_key="publication_id",
     natural_key="pubmed_id",
+    mode="upsert",
     unique=("pubmed_id",),
     max_length={"journal": 255},
     defaults={"created_at": "now"},
@@ -84,6 +94,7 @@ PRODUCTS = TableSpec(
     "product_id BIGINT, big_award_id STRING, product_name STRING, development_stage STRING, source STRING, "
     "source_url STRING, created_at TIMESTAMP",
     primary_key="product_id",
+    mode="replace",
     max_length={"product_name": 255, "development_stage": 100},
     defaults={"created_at": "now"},
 )
