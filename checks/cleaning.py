@@ -84,9 +84,7 @@ def c7(spark, folder):
           upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS p_type, p_size FROM part""",
 )
 def c8(spark, folder):
-    rows = fx.dirty_names(spark, folder).join(
-        fx.table(spark, folder, "part").select("p_partkey", "p_type", "p_size"), "p_partkey"
-    )
+    rows = fx.dirty_names(spark, folder, "p_type", "p_size")
     return normalise_text_fields(rows, ["dirty", "p_type", "p_size", "absent"])
 
 
@@ -118,7 +116,7 @@ def c10(spark, folder):
           'Founder' AS role_type FROM part, (VALUES (0), (2)) v(ordinal) WHERE ordinal = 2 OR p_partkey % 5 <> 4""",
 )
 def c11(spark, folder):
-    names = fx.dirty_names(spark, folder).join(fx.table(spark, folder, "part").select("p_partkey", "p_type"), "p_partkey")
+    names = fx.dirty_names(spark, folder, "p_type")
     lists = names.select("p_partkey", F.array("dirty", F.lit("  "), "p_type").alias("names"))
     return parse_founders(lists, "names", ["p_partkey"])
 

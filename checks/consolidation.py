@@ -238,24 +238,18 @@ def g10(spark, folder):
     """Rows and rejects together; the payload number rides in the key."""
     landing = fx.profile_landing(spark, folder).withColumn("entity_id", F.concat_ws("#", "entity_id", "payload_id"))
     profiles, _ = parse_profiles(landing)
-    rows, rejects = P.funding_rows(profiles)
-    none = F.lit(None).cast("string")
-    both = rows.select(
+    rounds = P.marked_rounds(profiles)
+
+    def usable(column):
+        return F.when(F.col("reason").isNull(), column)
+
+    both = rounds.select(
         "big_award_id",
         "ordinal",
-        "stage",
-        F.col("amount_inr").cast("double").alias("amount_inr"),
-        F.date_format("announced_date", DAY).alias("announced_date"),
-        none.alias("reason"),
-    ).unionByName(
-        rejects.select(
-            "big_award_id",
-            F.col("ordinal").cast("bigint").alias("ordinal"),
-            none.alias("stage"),
-            F.lit(None).cast("double").alias("amount_inr"),
-            none.alias("announced_date"),
-            "reason",
-        )
+        usable(F.col("stage")).alias("stage"),
+        usable(F.col("amount_inr").cast("double")).alias("amount_inr"),
+        usable(F.date_format("announced_date", DAY)).alias("announced_date"),
+        "reason",
     )
     return both.withColumn("payload_id", F.substring_index("big_award_id", "#", -1).cast("bigint")).withColumn(
         "big_award_id", F.substring_index("big_award_id", "#", 1)

@@ -14,12 +14,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows are costly to parse. The driver's small files are one
-    split each, which would keep one core busy and the others idle; a table
-    with a split per core or more is taken as it is, without a shuffle."""
-    rows = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    """A table whose rows are costly to parse, dealt over the cores before
+    messy text is made of it: the driver's files are one split each."""
+    return table(spark, folder, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def entities(spark, folder) -> DataFrame:
@@ -135,10 +132,11 @@ def profile_landing(spark, folder) -> DataFrame:
     )
 
 
-def dirty_names(spark, folder) -> DataFrame:
+def dirty_names(spark, folder, *also: str) -> DataFrame:
     """Part names with case, blanks, tabs and no-break spaces changed."""
     return table(spark, folder, "part").selectExpr(
         "p_partkey",
+        *also,
         """CASE p_partkey % 5 WHEN 0 THEN upper(p_name) WHEN 1 THEN concat(' ', replace(p_name, ' ', '   '), ' ')
              WHEN 2 THEN replace(p_name, ' ', '\t') WHEN 3 THEN concat('\u00a0', replace(p_name, ' ', '\u00a0'), '\n')
              ELSE '' END AS dirty""",
@@ -266,9 +264,9 @@ def news_landing(spark, folder) -> DataFrame:
                    CASE WHEN i % 2 = 0 THEN concat('"source": {"domain": "', o_orderpriority, '"}, ') ELSE '' END,
                    '"publishedDate": ', CASE WHEN i = 3 THEN 'null' ELSE concat('"', date_format(o_orderdate, 'yyyy-MM-dd'), 'T00:00:00Z"') END, '}')), ','), ']}') END AS json_body""",
             """CASE WHEN o_orderkey % 13 = 0 THEN '<rss><channel><item>' ELSE
-                 concat('<?xml version="1.0"?><rss version="2.0"><channel><title>feed</title>', array_join(transform(items, i -> concat(
+                 concat('<?xml version="1.0"?><rss version="2.0"><channel><title>feed</title>', CASE WHEN o_orderkey % 4 = 1 THEN '</channel>' ELSE '' END, array_join(transform(items, i -> concat(
                    '<item><title>Item ', o_orderkey, '-', i, ' &amp; more</title><link>https://rss.example.org/', o_orderkey, '/', i, '</link><pubDate>',
-                   CASE WHEN i = 3 THEN 'yesterday' ELSE date_format(o_orderdate, 'EEE, dd MMM yyyy 07:00:00 ') || 'GMT' END, '</pubDate></item>')), ''), '</channel></rss>') END AS rss_body""",
+                   CASE WHEN i = 3 THEN 'yesterday' ELSE date_format(o_orderdate, 'EEE, dd MMM yyyy 07:00:00 ') || 'GMT' END, '</pubDate></item>')), ''), CASE WHEN o_orderkey % 4 = 1 THEN '' ELSE '</channel>' END, '</rss>') END AS rss_body""",
         )
     )
 

@@ -148,16 +148,30 @@ def publication_rows(from_json: DataFrame, sections: DataFrame, site_urls: DataF
 
 def explode_founders(profiles: DataFrame, rank: str = "source_rank") -> DataFrame:
     """Founder rows of all profiles, with the rank of their source and place."""
-    rows = profiles.select("entity_id", rank, F.posexplode("founders").alias("ordinal", "_founder"))
-    return rows.select("entity_id", rank, "ordinal", "_founder.*")
+    # The outer form, as the inner one would put a filter that makes the list
+    # once more below the generator.
+    rows = profiles.select("entity_id", rank, F.posexplode_outer("founders").alias("ordinal", "_founder"))
+    return rows.where(F.col("ordinal").isNotNull()).select("entity_id", rank, "ordinal", "_founder.*")
 
 
 def funding_rows(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Funding rounds of the profiles and the rounds that were not usable.
 
     A round is rejected when it is no object, or when its amount is given and
-    cannot be read; a round without an amount stays, with none.
+    cannot be read; a round without an amount stays, with none. Whoever needs
+    both tables should stage ``marked_rounds`` and split that.
     """
+    return split_rounds(marked_rounds(profiles))
+
+
+def split_rounds(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = marked.where("reason is null").drop("reason", "raw")
+    return rows, marked.where("reason is not null").select(ENTITY_KEY, "ordinal", "reason", "raw")
+
+
+def marked_rounds(profiles: DataFrame) -> DataFrame:
+    """All rounds, read once: the row's columns, ``reason`` where it can't be
+    used, and then its text as ``raw``."""
     rounds = profiles.select("entity_id", F.posexplode("funding_rounds").alias("ordinal", "_round"))
     amount = F.try_variant_get("_round.amount_inr", "$", "string")
     # An empty text or the number zero counts as not given; the text "0" is zero.
@@ -185,10 +199,8 @@ def funding_rows(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad = F.when(no_object, "round is no object").when(
         fn.is_filled(F.col("_given")) & F.col("amount_inr").isNull(), "amount cannot be read"
     )
-    marked = read.withColumn("reason", bad)
-    rows = marked.where("reason is null").drop("reason", "_round", "_given")
-    lost = marked.where("reason is not null")
-    return rows, lost.select(ENTITY_KEY, "ordinal", "reason", F.coalesce(F.to_json(item), F.to_json("_round")).alias("raw"))
+    text = F.coalesce(F.to_json(item), F.to_json("_round"))
+    return read.withColumn("reason", bad).withColumn("raw", F.when(F.col("reason").isNotNull(), text)).drop("_round", "_given")
 
 
 def news_rows(news: DataFrame, load_date: Column) -> DataFrame:

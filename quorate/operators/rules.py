@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Fixed values from here on: field names, limits, thresholds and texts.
 DEFAULT_TEXT_LIMIT = 255
 YEAR_PATTERN = r"^\d{4}$"
@@ -212,6 +215,12 @@ def rule_set(entity_type: str, style: str = "typed") -> list[FieldRule]:
     return rules if style == "typed" else [_observed(r) for r in rules]
 
 
+def type_error(name: Column) -> Column:
+    """What is wrong with the name of a rule set, or null."""
+    known = name.isin(*RULE_SETS, *RULE_SET_ALIASES)
+    return F.when(~F.coalesce(known, F.lit(False)), F.concat(F.lit("Unknown entity type: "), F.coalesce(name, F.lit(""))))
+
+
 def _observed(rule: FieldRule) -> FieldRule:
     """Plain fields as limited text; a year is text of four digits."""
     if rule.kind == "year":
