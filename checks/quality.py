@@ -18,9 +18,12 @@ from quorate.operators.report import (
     report_from_counts,
     should_reject,
 )
-from quorate.operators.rules import RULE_SETS, rule_set, type_error
-from quorate.operators.validate import apply_suggestions, judge, row_counts, row_validity, validate
+from quorate.operators.rules import RULE_SETS, FieldRule, rule_set, type_error
+from quorate.operators.validate import apply_suggestions, judge, row_counts, row_validity, validate, with_counts
+from quorate.plans.loads import load
+from quorate.schemas import TableSpec
 from quorate.sources import new_folder, stage
+from quorate.store import Table
 
 ROW = ("row_id",)
 
@@ -373,3 +376,30 @@ def v_report(spark, folder):
         "total_warnings",
         "is_valid",
     )
+
+
+_ORDER_RULES = [
+    FieldRule("o_orderkey", "numeric", required=True),
+    FieldRule("o_orderpriority", "string", required=True, max_length=8),
+    FieldRule("o_clerk_mail", "string", required=True),
+]
+
+
+@query(
+    "v_own_rules_and_table",
+    """SELECT o_orderkey, o_orderpriority, 3 AS fields, 1 + (length(o_orderpriority) <= 8)::INT AS valid_fields, o_orderkey % 2 = 0 AS updated FROM orders""",
+)
+def v_own(spark, folder):
+    """Rules and a table that are not built in: judged, loaded, and the even
+    rows loaded once more."""
+    spec = TableSpec(
+        "judged_orders", "o_orderkey BIGINT, o_orderpriority STRING, fields INT, valid_fields INT, updated BOOLEAN",
+        primary_key="o_orderkey", natural_key="o_orderkey", mode="upsert", parent_key=None, not_null=("o_orderkey",),
+    )
+    orders = fx.table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    judged = with_counts(orders, "order", rules=_ORDER_RULES).withColumn("updated", F.lit(False))
+    table = Table(spark, new_folder(spark, "own"), spec, buckets=4).create()
+    now = F.lit("2025-03-01 12:30:00").cast("timestamp")
+    load(table, judged, now, "r1")
+    load(table, judged.where("o_orderkey % 2 = 0").withColumn("updated", F.lit(True)), now, "r2")
+    return table.read()

@@ -207,8 +207,11 @@ def judge(df: DataFrame, rule: FieldRule) -> Verdict:
     return verdict
 
 
-def judge_all(df: DataFrame, entity_type: str, style: str = "typed") -> list[Verdict]:
-    return [judge(df, rule) for rule in rule_set(entity_type, style)]
+def judge_all(
+    df: DataFrame, entity_type: str, style: str = "typed", rules: Sequence[FieldRule] | None = None
+) -> list[Verdict]:
+    """Verdicts of a built-in rule set, or of ``rules`` under any name."""
+    return [judge(df, rule) for rule in (rule_set(entity_type, style) if rules is None else rules)]
 
 
 def validate(
@@ -216,6 +219,7 @@ def validate(
     entity_type: str,
     keys: Sequence[str],
     style: str = "typed",
+    rules: Sequence[FieldRule] | None = None,
 ) -> DataFrame:
     """Long results ``(keys, entity_type, field, value, is_valid, severity,
     message, suggested_value)``, one row per table row and declared field."""
@@ -228,7 +232,7 @@ def validate(
             v.message.alias("message"),
             v.suggested.alias("suggested_value"),
         )
-        for v in judge_all(df, entity_type, style)
+        for v in judge_all(df, entity_type, style, rules)
     ]
     return df.select(*keys, F.lit(entity_type).alias("entity_type"), F.inline(F.array(*lines)))
 
@@ -239,7 +243,7 @@ def _mark(case: _Case) -> int:
     return {ERROR: 1, CRITICAL: 1, WARNING: 2}.get(case.severity, 3)
 
 
-def with_counts(df: DataFrame, entity_type: str, style: str = "typed") -> DataFrame:
+def with_counts(df: DataFrame, entity_type: str, style: str = "typed", rules: Sequence[FieldRule] | None = None) -> DataFrame:
     """Add to every row its numbers of fields, valid fields, errors and
     warnings, without building the long table.
 
@@ -247,7 +251,7 @@ def with_counts(df: DataFrame, entity_type: str, style: str = "typed") -> DataFr
     counters look at the array of those numbers only.
     """
     marks = []
-    for v in judge_all(df, entity_type, style):
+    for v in judge_all(df, entity_type, style, rules):
         marks.append(v.cases.pick(lambda c: F.lit(_mark(c))))
     marked = df.select("*", F.explode(F.array(F.array(*marks))).alias("_marks"))
 
@@ -263,26 +267,32 @@ def with_counts(df: DataFrame, entity_type: str, style: str = "typed") -> DataFr
     )
 
 
-def row_counts(df: DataFrame, entity_type: str, keys: Sequence[str], style: str = "typed") -> DataFrame:
+def row_counts(
+    df: DataFrame, entity_type: str, keys: Sequence[str], style: str = "typed", rules: Sequence[FieldRule] | None = None
+) -> DataFrame:
     """The counters of ``with_counts`` with keys and type only."""
-    counted = with_counts(df, entity_type, style)
+    counted = with_counts(df, entity_type, style, rules)
     return counted.select(
         *keys, F.lit(entity_type).alias("entity_type"), "fields", "valid_fields", "errors", "warnings"
     )
 
 
-def row_validity(df: DataFrame, entity_type: str, keys: Sequence[str], style: str = "typed") -> DataFrame:
+def row_validity(
+    df: DataFrame, entity_type: str, keys: Sequence[str], style: str = "typed", rules: Sequence[FieldRule] | None = None
+) -> DataFrame:
     """Per row: is every result that is not a warning valid?"""
-    verdicts = judge_all(df, entity_type, style)
+    verdicts = judge_all(df, entity_type, style, rules)
     passes = reduce(lambda a, b: a & b, [v.valid | (v.severity == WARNING) for v in verdicts])
     return df.select(*keys, F.lit(entity_type).alias("entity_type"), passes.alias("is_valid"))
 
 
-def apply_suggestions(df: DataFrame, entity_type: str, style: str = "typed", fail_on: str = "critical") -> DataFrame:
+def apply_suggestions(
+    df: DataFrame, entity_type: str, style: str = "typed", fail_on: str = "critical", rules: Sequence[FieldRule] | None = None
+) -> DataFrame:
     """Put suggested values in place. A failure of severity ``fail_on`` or worse
     stops the job (no built-in rule is critical)."""
     at_least = SEVERITIES[SEVERITIES.index(fail_on) :]
-    verdicts = [v for v in judge_all(df, entity_type, style) if v.rule.field in df.columns]
+    verdicts = [v for v in judge_all(df, entity_type, style, rules) if v.rule.field in df.columns]
     changed = {}
     for v in verdicts:
         column = v.rule.field
