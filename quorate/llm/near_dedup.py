@@ -9,9 +9,13 @@ values. Bands of ``ROWS`` of them name buckets. The steps:
 3. in each bucket every class is paired with the bucket's first class only,
    and the pairs are confirmed on the full sets;
 4. confirmed links give components; a bucket whose classes are all in one
-   component is done. In the others, the classes outside the bucket's largest
-   component are paired with all classes of other components: the exact rest;
-5. components again, now from all links.
+   component is done. In the others, each class outside the bucket's largest
+   component is paired with one class inside; this is done ``STAR_ROUNDS``
+   times and merges most of what chains of edits have drawn apart;
+5. the exact rest: the classes that are still outside meet all classes of
+   other components in their bucket. The join itself drops the pairs that a
+   bitmap of the two sets rules out (a bound without error), the others are
+   confirmed, and components are drawn once more, from all links.
 
 So a bucket of n near copies gives about n pairs, and no pair of a bucket that
 could still join two components is left untested. A pair of similarity 0.8
@@ -21,17 +25,20 @@ shares no bucket with a probability of (1 - 0.8^5)^32, some 3 in a million.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorate.llm.common import Stage, map_rows, normal
 
 PERMUTATIONS, ROWS = 80, 5
 BANDS = 2 * PERMUTATIONS // ROWS
+STAR_ROUNDS = 2  # before the exact rest of a bucket
+BITMAP = 2048  # bits of the outline of a set
 PIECE = 4096  # shingles handled at a time
 
 
@@ -116,10 +123,34 @@ def _sets(rows: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             sets = [shingle_set(t, k) for t in batch.column("text").to_pylist()]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            columns = [pa.array(digests, pa.binary()), pa.array([s.view("i8") for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["digest", "shingles"])
+            columns = [
+                pa.array(digests, pa.binary()),
+                pa.array([s.view("i8") for s in sets], pa.list_(pa.int64())),
+                pa.array([outline(s) for s in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["digest", "shingles", "outline"])
+
+    return map_rows(rows.select("text"), work, "digest BINARY, shingles ARRAY<BIGINT>, outline ARRAY<BIGINT>")
+
 
-    return map_rows(rows.select("text"), work, "digest BINARY, shingles ARRAY<BIGINT>")
+def outline(shingles: np.ndarray) -> np.ndarray:
+    """A bitmap with a bit for every shingle, as 64-bit numbers."""
+    bits = np.zeros(BITMAP, bool)
+    bits[(shingles % np.uint64(BITMAP)).astype("i8")] = True
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+def _may_reach(similarity: int, n_a: str, n_b: str, a: str, b: str) -> Column:
+    """False only for pairs that can't be similar enough. A bit that one set
+    has and the other has not is a shingle that they do not share, so the
+    bits bound the intersection from above, without error."""
+    words = range(BITMAP // 64)
+
+    def only(x: str, y: str) -> Column:
+        return reduce(lambda p, q: p + q, [F.bit_count(F.get(x, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(y, F.lit(i))))) for i in words])
+
+    shared = F.least(F.col(n_a) - only(a, b), F.col(n_b) - only(b, a))
+    return (100 + similarity) * shared >= similarity * (F.col(n_a) + F.col(n_b))
 
 
 def components(staged: Stage, links: DataFrame, label: str) -> DataFrame:
@@ -172,31 +203,57 @@ def near_duplicates(
     pairs = members.where((F.col("node") != F.col("head")) & sizes_allow("n", "head_n"))
     pairs = staged(pairs.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
 
+    # The sets of all classes that share a bucket, read from the texts once.
+    wanted = members.select("node").distinct()
+    wanted = staged(classes.select("digest", "node", "rep", "n").join(wanted, "node", "left_semi"), "wanted")
+    ids = wanted.select(F.coalesce(F.col("rep").cast("string"), F.lit("null")).alias("key")).distinct()
+    texts = rows.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).join(ids, "key", "left_semi")
+    sets = staged(_sets(texts, k).join(wanted, "digest").select("node", "n", "shingles", "outline"), "sets")
+
     def confirmed(pairs: DataFrame, label: str) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = staged(classes.select("digest", "node", "rep", "n").join(wanted, "node", "left_semi"), f"{label}-wanted")
-        ids = wanted.select(F.coalesce(F.col("rep").cast("string"), F.lit("null")).alias("key")).distinct()
-        texts = rows.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).join(ids, "key", "left_semi")
-        sets = _sets(texts, k).join(wanted, "digest").select("node", "n", "shingles")
-        sets = staged(sets, f"{label}-sets")
-        left = pairs.join(sets.toDF("a", "n_a", "set_a"), "a")
-        met = left.join(sets.toDF("b", "n_b", "set_b"), "b")
+        whole = sets.select("node", "n", "shingles")
+        left = pairs.join(whole.toDF("a", "n_a", "set_a"), "a")
+        met = left.join(whole.toDF("b", "n_b", "set_b"), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
         # common / (n_a + n_b - common) >= similarity / 100
         links = met.where((100 + similarity) * common >= similarity * (F.col("n_a") + F.col("n_b")))
         return staged(links.select("a", "b").distinct(), f"{label}-links")
 
     links = confirmed(pairs, "star")
-    known = components(staged, links, "star")
-    # What is left: buckets in which two components meet.
-    placed = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    counted = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    mixed = counted.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.count("*").alias("parts"))
-    mixed = staged(mixed.where("parts > 1").select("bucket", "largest"), "mixed")
-    open_ = staged(placed.join(mixed, "bucket").where("node != head").select("bucket", "node", "n", "component", "largest"), "open")
-    outside = open_.where("component != largest").select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    other = open_.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "largest")
-    rest = outside.join(other, "bucket").where("c_a != c_b AND (c_b = largest OR a < b)").where(sizes_allow("n_a", "n_b"))
+    for round_ in range(STAR_ROUNDS + 1):
+        known = components(staged, links, f"round{round_}")
+        # Buckets in which components still meet.
+        placed = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        counted = placed.groupBy("bucket", "component").agg(
+            F.count("*").alias("size"), F.min_by(F.struct("node", "n"), F.xxhash64("node", "bucket", F.lit(round_))).alias("one")
+        )
+        mixed = counted.groupBy("bucket").agg(
+            F.max_by(F.struct("component", "one"), F.struct("size", "component")).alias("largest"), F.count("*").alias("parts")
+        )
+        mixed = staged(mixed.where("parts > 1").select("bucket", "largest.*"), f"mixed{round_}")
+        mixed = mixed.select("bucket", F.col("component").alias("largest"), F.col("one.node").alias("one"), F.col("one.n").alias("one_n"))
+        open_ = placed.join(mixed, "bucket").where("node != head")
+        outside = open_.where("component != largest")
+        if round_ < STAR_ROUNDS:
+            # Each class outside a bucket's largest component against one
+            # class inside, another one for each bucket and round.
+            star = outside.where((F.col("one") != F.col("head")) & sizes_allow("n", "one_n")).select(F.col("node").alias("a"), F.col("one").alias("b"))
+            star = staged(star.distinct(), f"star{round_}")
+            found = confirmed(star, f"star{round_}")
+            links = links.union(found)
+    # The exact rest. Pairs whose outlines rule out enough similarity fall out
+    # in the join and are never written.
+    lines = sets.select("node", "outline")
+    outside = outside.join(lines, "node").select(
+        "bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("outline").alias("o_a")
+    )
+    other = open_.join(lines, "node").select(
+        "bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("outline").alias("o_b"), "largest"
+    )
+    outside, other = staged(outside, "outside"), staged(other, "open")
+    same = F.col("l.bucket") == F.col("r.bucket")
+    apart = F.expr("c_a != c_b AND (c_b = largest OR a < b)") & sizes_allow("n_a", "n_b")
+    rest = outside.alias("l").join(other.alias("r"), same & apart & _may_reach(similarity, "n_a", "n_b", "o_a", "o_b"))
     rest = staged(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
     known = components(staged, links.union(confirmed(rest, "rest")), "all")
 
