@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Remembered, map_rows, normal
+from quorate.llm.common import Remembered, map_rows, normal, portions
 
 def byte_characters() -> list[str]:
     """A printable character for each byte: itself where it prints in Latin-1,
@@ -143,7 +143,7 @@ def encode_documents(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path, pattern)
-        for batch in batches:
+        for batch in portions(batches):
             coded = coder.encode(batch.column("text").to_pylist())
             columns = [batch.column("doc_id"), pa.array(coded, pa.binary())]
             if decode:

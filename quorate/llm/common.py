@@ -7,14 +7,16 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quorate.sources.staging import new_folder, stage
 
-__all__ = ["Remembered", "Stage", "bounded_labels", "held_out", "lower_ascii", "map_rows", "normal", "ship", "table"]
+__all__ = ["Remembered", "Stage", "bounded_labels", "held_out", "lower_ascii", "map_rows", "normal", "portions", "ship", "table"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SHIPPED: set[str] = set()
@@ -52,11 +54,22 @@ class Stage:
         return stage(df, self.folder, name)
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, at least one
+    row each: what Python makes of a text is many times as large."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(lengths, dtype="i8") // size
+        starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+        for at, stop in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(at, stop - at)
+
+
 class Remembered(dict):
     """Codes of chunks of text: each distinct chunk is coded once, the new
     ones of a batch together. ``limit`` bounds the memory, not the results."""
 
-    def __init__(self, code: Callable[[list], list[bytes]], limit: int = 600_000):
+    def __init__(self, code: Callable[[list], list[bytes]], limit: int = 400_000):
         super().__init__()
         self.code, self.limit = code, limit
         self.fresh: list = []

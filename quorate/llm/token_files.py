@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Remembered, map_rows, normal
+from quorate.llm.common import Remembered, map_rows, normal, portions
 from quorate.sources.staging import new_folder, stage
 
 MAGIC = b"QDAC1\n"
@@ -102,7 +102,7 @@ def encode_words(docs: DataFrame, path: str, end_id: int | None = None) -> DataF
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
-        for batch in batches:
+        for batch in portions(batches):
             coded = [ids + end for ids in coder.encode(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(coded, pa.binary())], names=["doc_id", "ids"])
 
