@@ -69,7 +69,7 @@ class Remembered(dict):
     """Codes of chunks of text: each distinct chunk is coded once, the new
     ones of a batch together. ``limit`` bounds the memory, not the results."""
 
-    def __init__(self, code: Callable[[list], list[bytes]], limit: int = 400_000):
+    def __init__(self, code: Callable[[list], list[bytes]], limit: int = 250_000):
         super().__init__()
         self.code, self.limit = code, limit
         self.fresh: list = []

@@ -44,7 +44,7 @@ PIECE = 4096  # shingles handled at a time
 
 class _Ids(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         number = self[word] = xxhash.xxh3_64_intdigest(word)
         return number

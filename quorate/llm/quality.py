@@ -39,7 +39,7 @@ _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 
 class _Buckets(dict):
     def __missing__(self, token: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         number = self[token] = xxhash.xxh3_64_intdigest(token) % BUCKETS
         return number

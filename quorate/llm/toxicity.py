@@ -33,7 +33,7 @@ _WORD = re.compile(rb"[a-z\x80-\xff]+|[0-9]+|[^\sa-z0-9\x80-\xff]+")
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         number = self[word] = xxhash.xxh3_64_intdigest(word) >> 1
         return number
