@@ -322,6 +322,28 @@ def test_scores_on_held_out_labels(spark):
         assert auc(own.score.to_numpy(), own[column].to_numpy()) > 0.7 and got.score.between(0, 1).all()
 
 
+def test_toxic_texts_are_found_in_every_language(spark):
+    folder = "/root/testdata/sf0.1"
+    known = duckdb.connect().execute(f"SELECT doc_id, lang, toxic FROM '{folder}/labels.parquet' JOIN '{folder}/documents.parquet' USING (doc_id)").df().set_index("doc_id")
+    got = QUERIES["op8_toxicity"](spark, folder).toPandas().set_index("doc_id").join(known, how="inner")
+    own = got[got.held_out & got.toxic.notna()]
+    found = own[own.toxic == 1].groupby("lang").predicted.mean()
+    assert set(found.index) == {"en", "de", "es", "fr"} and found.min() >= 0.75
+    assert own[own.toxic == 0].predicted.mean() < 0.02
+
+
+def test_rare_words_of_a_stem_count(spark):
+    """No toxic word is in two confirmed texts; their stem is in all."""
+    def text(i):
+        bad = [f"grumbl{chr(97 + i % 26)}{chr(97 + i // 26)}{c}" for c in "abc"] if i % 2 else []
+        return " ".join([*bad, *(f"plain{i * j % 97}" for j in range(1, 20))])
+
+    df = table(spark, *[(i, text(i)) for i in range(400)])
+    known = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id BIGINT, toxic INT")
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(df, known).collect()}
+    assert all(got[i] == i % 2 for i in range(300, 400))
+
+
 def test_label_noise_is_no_input(spark):
     """A score depends on the text alone."""
     df = table(spark, *[(i, "bad %%% ***" if i % 2 else "plain words here and there") for i in range(200)])
