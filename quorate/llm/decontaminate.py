@@ -158,10 +158,11 @@ def decontaminate(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents in which a window occurs, all columns as
-    they were. Rows are told apart by their id; one without an id goes if a
-    window occurs in any row without an id."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    found = decontaminate(docs, benchmark, window, id_col, text_col).where("contaminated")
-    gone = found.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("key")).distinct()
-    packed = docs.select(F.struct("*").alias("doc"), key.alias("key"))
+    they were. Whether one occurs depends on the text alone, so rows are judged
+    by a digest of their text; ids are not looked at and may be null or
+    repeated."""
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+    packed = docs.select(F.struct("*").alias("doc"), digest.alias("key"))
+    found = decontaminate(docs.select(digest.alias("key"), F.col(text_col).alias("text")), benchmark, window, "key", "text")
+    gone = found.where("contaminated").select(F.col("doc_id").alias("key")).distinct()
     return packed.join(gone, "key", "left_anti").select("doc.*")

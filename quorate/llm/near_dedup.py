@@ -109,13 +109,14 @@ def _sketches(rows: DataFrame, k: int) -> DataFrame:
             names = [bands(signature(s, permutations)) if len(s) else np.zeros(0, "i8") for s in sets]
             columns = [
                 batch.column("doc_id"),
+                batch.column("place"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(digests, pa.binary()),
                 pa.array(names, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n", "digest", "bands"])
 
-    return map_rows(rows, work, "doc_id BIGINT, n BIGINT, digest BINARY, bands ARRAY<BIGINT>")
+    return map_rows(rows, work, "doc_id BIGINT, place BIGINT, n BIGINT, digest BINARY, bands ARRAY<BIGINT>")
 
 
 def _sets(rows: DataFrame, k: int) -> DataFrame:
@@ -172,25 +173,16 @@ def components(staged: Stage, links: DataFrame, label: str) -> DataFrame:
     return edges.toDF("node", "component").union(edges.select("b", "b").distinct())
 
 
-def near_duplicates(
-    docs: DataFrame, k: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
-
-    Two documents are linked when the Jaccard similarity of their sets of
-    ``k``-word shingles is at least ``similarity`` per cent; ``component_id``
-    is the smallest doc_id that links reach. A null or empty text, or one
-    without words, has the empty set and is its own component. A null id is
-    never the smallest; where there is no other, ``component_id`` is null and
-    ``kept`` is true. Repeated rows share their component. An empty table
-    gives no rows. Other columns are not looked at.
-    """
-    staged = Stage(docs.sparkSession, "near-dedup")
-    rows = normal(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = staged(_sketches(rows, k).withColumn("place", F.monotonically_increasing_id()), "sketches")
+def _classes(staged: Stage, rows: DataFrame, k: int, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """Of rows (doc_id, text, place): their sketches, and for each distinct
+    set that is not empty (digest, rep, best, component), where rep is the
+    smallest doc_id with the set and best the first row by (id, place), rows
+    without an id last."""
+    sketches = staged(_sketches(rows, k), "sketches")
+    entry = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "place")
     first = F.min_by(F.struct("n", "bands"), "place").alias("first")
-    classes = sketches.where("n > 0").groupBy("digest").agg(F.min("place").alias("node"), F.min("doc_id").alias("rep"), first)
-    classes = staged(classes.select("digest", "node", "rep", "first.n", "first.bands"), "classes")
+    classes = sketches.where("n > 0").groupBy("digest").agg(F.min("place").alias("node"), F.min("doc_id").alias("rep"), F.min(entry).alias("best"), first)
+    classes = staged(classes.select("digest", "node", "rep", "best", "first.n", "first.bands"), "classes")
 
     buckets = classes.select(F.explode("bands").alias("bucket"), "node", "n")
     heads = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.max("node").alias("last"))
@@ -257,8 +249,26 @@ def near_duplicates(
     rest = staged(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
     known = components(staged, links.union(confirmed(rest, "rest")), "all")
 
-    of_class = classes.select("digest", "node", "rep").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of_class = staged(of_class.select("digest", "rep", "component"), "of-class")
+    of_class = classes.select("digest", "node", "rep", "best").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return sketches, staged(of_class.select("digest", "rep", "best", "component"), "of-class")
+
+
+def near_duplicates(
+    docs: DataFrame, k: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    Two documents are linked when the Jaccard similarity of their sets of
+    ``k``-word shingles is at least ``similarity`` per cent; ``component_id``
+    is the smallest doc_id that links reach. A null or empty text, or one
+    without words, has the empty set and is its own component. A null id is
+    never the smallest; where there is no other, ``component_id`` is null and
+    ``kept`` is true. Repeated rows share their component. An empty table
+    gives no rows. Other columns are not looked at.
+    """
+    staged = Stage(docs.sparkSession, "near-dedup")
+    rows = normal(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("place"))
+    sketches, of_class = _classes(staged, rows, k, similarity)
     smallest = of_class.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("size"))
     # Only components of several classes have another smallest id.
     joined = of_class.join(smallest.where("size > 1"), "component", "left")
@@ -270,8 +280,16 @@ def near_duplicates(
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that ``near_duplicates`` does not keep,
-    all columns as they were. Rows are told apart by their id."""
-    gone = near_duplicates(docs, k, similarity, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    packed = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("key"))
-    return packed.join(gone, F.col("key") == F.col("gone_id"), "left_anti").select("doc.*")
+    """One row of every group of near copies, all columns as they were: that of
+    the smallest id, rows without an id last, and of equal ids the first in
+    the scan. Rows are told apart by their place, so a row of other text stays
+    whatever id it has. Rows without words are in no group and stay."""
+    staged = Stage(docs.sparkSession, "near-dedup")
+    # The place of a row is fixed by writing it once.
+    packed = staged(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("place")), "placed")
+    doc_id, text = F.col("doc").getField(id_col).cast("long"), F.col("doc").getField(text_col)
+    rows = packed.select(doc_id.alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), "place")
+    sketches, of_class = _classes(staged, rows, k, similarity)
+    best = of_class.groupBy("component").agg(F.min("best").alias("best")).select("best.place")
+    stay = best.union(sketches.where("n = 0").select("place"))
+    return packed.join(stay, "place", "left_semi").select("doc.*")
