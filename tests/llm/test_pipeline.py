@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quorate.llm import bpe, decontaminate, near_dedup
+from quorate.llm import bpe, decontaminate, near_dedup, quality
 from quorate.llm.common import table
 
 
@@ -74,3 +74,14 @@ def test_stages_keep_rows_not_ids(spark):
     items = spark.createDataFrame([("q", item)], "item_id STRING, text STRING")
     got = sorted(r.n_chars for r in decontaminate.drop_contaminated(df, items).collect())
     assert got == [n for n, r in enumerate(rows) if not hit(r[1])] and {10, 12} <= set(got)
+
+
+def test_quality_keeps_the_rows_that_score(spark, data):
+    """Rows, not ids: null and repeated ids are judged by their own text."""
+    docs = table(spark, data, "documents")
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 7 == 0, F.lit(None)).when(F.col("doc_id") % 7 == 1, 1).otherwise(F.col("doc_id")))
+    known = table(spark, data, "labels")
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0)
+    want = sorted((r for r in quality.score_quality(docs, known).collect() if r.score >= 0.3), key=key)
+    got = sorted(corpus_pipeline.drop_low_quality(spark, docs, data).collect(), key=key)
+    assert [r.doc_id for r in got] == [r.doc_id for r in want]
