@@ -4,8 +4,8 @@ The patterns give the base spans. Beyond them, long unbroken strings are
 candidates, and two first-order Markov models over their characters, one of
 random strings and one of ordinary identifiers, decide by the log-likelihood
 ratio. The labelled samples come from the corpus itself: values of base spans
-are random strings, other strings are ordinary identifiers; at most ``bound``
-documents are counted. Everything is SQL functions.
+are random strings, other strings are ordinary identifiers, both counted over
+all documents. Everything is SQL functions.
 """
 
 from __future__ import annotations
@@ -70,12 +70,11 @@ def _base(docs: DataFrame) -> DataFrame:
     return found.withColumn("m_assign", F.filter("m_assign", lambda m: F.length(m["value"]) >= ASSIGN_LEAST))
 
 
-def transition_ratios(docs: DataFrame, bound: int = 20_000) -> list[float]:
-    """Log-likelihood ratio of every character pair, row by row, from at most
-    ``bound`` documents chosen by a hash of the id. Counts are smoothed by
-    one; without any sample all ratios are 0."""
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    found = _base(docs.join(F.broadcast(ids), "doc_id"))
+def transition_ratios(docs: DataFrame) -> list[float]:
+    """Log-likelihood ratio of every character pair, row by row, from all
+    documents: where secrets are rare, a sample of documents holds none.
+    Counts are smoothed by one; without strings of a kind all ratios are 0."""
+    found = _base(docs)
     secret = F.concat(*(F.transform(f"m_{k}", lambda m: m["value"]) for k in KINDS))
     # What is left of the text when base spans are cut out.
     rest = F.col("text")
@@ -103,7 +102,7 @@ def transition_ratios(docs: DataFrame, bound: int = 20_000) -> list[float]:
     return [r - o for random, plain_ in zip(log[1], log[0]) for r, o in zip(random, plain_)]
 
 
-def scan_secrets(docs: DataFrame, bound: int = 20_000, least_ratio: float = 12.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, least_ratio: float = 12.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base
     (array of start, rank, end, kind), added (the same, of the models), text
     of all base spans and of all spans.
@@ -115,7 +114,7 @@ def scan_secrets(docs: DataFrame, bound: int = 20_000, least_ratio: float = 12.0
     looked at.
     """
     rows = normal(docs, id_col, text_col)
-    ratios = F.split(F.lit(",".join(f"{r:.6f}" for r in transition_ratios(rows, bound))), ",").cast("array<double>")
+    ratios = F.split(F.lit(",".join(f"{r:.6f}" for r in transition_ratios(rows))), ",").cast("array<double>")
     alphabet = F.lit(ALPHABET)
 
     def score(value: Column) -> Column:

@@ -180,6 +180,18 @@ def test_secret_spans_equal_the_patterns(spark, texts):
     assert got[10_005].spans == "random:4:24"
 
 
+def test_rare_secrets_are_counted(spark):
+    """All labelled strings are in documents that come last by a hash of the id."""
+    rng = random.Random(7)
+    made = lambda: "".join(rng.choice("BCDFGHJKLMNPQRSTVWXZ23456789") for _ in range(40))
+    ids = spark.range(21_000).withColumnRenamed("id", "doc_id")
+    last = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id").desc()).limit(40).collect()]
+    plain = F.lit("internationalisation understanding responsibilities communication development")
+    labelled = [(i, " ".join(f"{k}={made()}" for k in ("token", "password", "secret", "api_key"))) for i in last]
+    df = ids.where(~F.col("doc_id").isin(last)).select("doc_id", plain.alias("text")).union(spark.createDataFrame(labelled, "doc_id BIGINT, text STRING"))
+    assert any(secrets.transition_ratios(df))
+
+
 def brute_components(rows, k, similarity):
     sets = {}
     for i, t in rows:
