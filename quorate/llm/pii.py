@@ -3,10 +3,13 @@
 Generators of high recall propose spans that may overlap: the four base kinds,
 and looser shapes (addresses written out, groups of digits, dotted numbers).
 Boosted trees in numpy judge a span by its format and by the words before it;
-they learn from spans that the base rules accept or reject, on a bounded
-sample of documents, and a part of it that was kept back gives each kind the
-threshold at which ``PRECISION`` of what is selected is right. Base spans stay
-in any case; the trees add spans that overlap none of them.
+they learn from accepted base spans of all documents, rewritten in their place
+to the looser shapes, against made-up versions, prices, dates and numbers in
+the same place and spans that the base rules reject. Loose candidates of the
+texts themselves have no label and are not taught as wrong. Each label is
+bounded by a hash of the span; a part that was kept back gives each generator
+the threshold at which ``PRECISION`` of what is selected is right. Base spans
+stay in any case; the trees add spans that overlap none of them.
 """
 
 from __future__ import annotations
@@ -18,10 +21,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import map_rows, normal
+from quorate.llm.common import Stage, map_rows, normal
 
 BASE = ("email", "ip", "card", "phone")
 LOOSE = ("address", "digits", "dotted")
@@ -103,6 +107,7 @@ def features(text: str, start: int, generator: int, end: int) -> list[float]:
         sum(c.isalpha() for c in span), float(span[:1] == "+"), float("(" in span),
         float(12 <= len(digits) <= 19 and luhn("".join(digits))), cue, float(before[-1:].isalnum()), float(after.isalnum()),
         float("." in span[span.find("@") + 1 :]) if "@" in span else -1.0,
+        float(" dot " in span or "dot)" in span or "dot]" in span), float("at)" in span or "at]" in span), span.count(":"), span.count(","),
     ]
 
 
@@ -185,30 +190,72 @@ def fit(x: np.ndarray, y: np.ndarray, generators: np.ndarray, rounds: int = 30,
     return model
 
 
-def _judged(text: str) -> list[tuple[tuple[int, int, int], int]]:
-    """Candidates and whether an accepted base span covers just them."""
-    right = {(a, b) for a, _, b, ok in base_spans(text) if ok}
-    return [(c, int((c[0], c[2]) in right)) for c in candidates(text)]
+def _loose_shape(span: str, kind: int, pick: int) -> str | None:
+    """An accepted e-mail address or phone number without its surface cue."""
+    if kind == 0:
+        at, dot = ((" (at) ", " dot "), (" at ", " dot "), ("[at]", "[dot]"), (" (at) ", "."))[pick % 4]
+        local, domain = span.split("@", 1)
+        return local + at + domain.replace(".", dot)
+    if kind == 3:
+        groups = re.findall("[0-9]+", span)
+        if len(groups) < 3:
+            return span[1:]
+        return (span[1:], " ".join(groups), " ".join(groups[1:]), "-".join(groups[1:]), f"({groups[1]}) " + "-".join(groups[2:]))[pick % 5]
+    return None
+
+
+def _no_person(kind: int, pick: int) -> str:
+    """A version, date, price or number; for addresses a place."""
+    if kind == 0:
+        return ("seen at example.com", "look at page.html", f"open at {pick % 12 + 1}.30")[pick % 3]
+    n = pick // 8
+    return (
+        f"{n % 9 + 1}.{n % 23}.{n % 17}.{n % 700 + 300}", f"{n % 9 + 1}.{n % 23}.{n % 1000}",
+        f"{1950 + n % 90}-{n % 12 + 1:02}-{n % 28 + 1:02} {n % 24:02}", f"{n % 28 + 1:02}.{n % 12 + 1:02}.{1950 + n % 90}",
+        f"{n % 900 + 1}.{n % 1000:03}.{n // 7 % 1000:03}", f"{n % 10**8 + 10**8}", f"{n % 10**11 + 10**11}", f"{1950 + n % 90}-{n % 10**6:06}",
+    )[pick % 8]
+
+
+def labelled(text: str) -> list[tuple[list[float], int, int]]:
+    """(features, label, generator) of the candidates that have a label."""
+    out = []
+    base = base_spans(text)
+    for a, kind, b, ok in base:
+        before, after = text[max(0, a - 64) : a], text[b : b + 32]
+        if not ok:
+            if not any(c < b and a < d for c, _, d, good in base if good):
+                out += [(features(text, a, g, b), 0, g) for g in (kind, 5)]
+            continue
+        pick = xxhash.xxh3_64_intdigest(text[max(0, a - 8) : b].encode(errors="replace"))
+        for span, right in ((_loose_shape(text[a:b], kind, pick), 1), (_no_person(kind, pick), 0)):
+            if span is None:
+                continue
+            start, end, made = len(before), len(before) + len(span), before + span + after
+            for c in candidates(made):
+                # What overlaps the span without being it has wrong bounds.
+                if c[1] >= len(BASE) and c[0] < end and start < c[2]:
+                    out.append((features(made, *c), int(right and (c[0], c[2]) == (start, end)), c[1]))
+    return out
 
 
-def train(docs: DataFrame, bound: int = 10_000, most_spans: int = 40_000) -> Trees:
-    """Fit on the candidates of at most ``bound`` documents, chosen by a hash
-    of the id, and of these on at most ``most_spans``, chosen by a hash of the
-    span."""
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    rows = docs.join(F.broadcast(ids), "doc_id").select("text")
+def train(docs: DataFrame, most_spans: int = 40_000) -> Trees:
+    """Fit on labelled spans of all documents, of each label at most half of
+    ``most_spans``, chosen by a hash of the span."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(features(t, *c), y, c[1]) for t in batch.column("text").to_pylist() for c, y in _judged(t)]
+            found = [r for t in batch.column("text").to_pylist() for r in labelled(t)]
             columns = [
                 pa.array([f for f, _, _ in found], pa.list_(pa.float64())),
                 pa.array([y for _, y, _ in found], pa.int32()), pa.array([g for _, _, g in found], pa.int32()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["x", "y", "generator"])
 
-    spans = map_rows(rows, work, "x ARRAY<DOUBLE>, y INT, generator INT")
-    sample = spans.orderBy(F.xxhash64("x", "y"), "x", "y", "generator").limit(most_spans).toArrow()
+    spans = Stage(docs.sparkSession, "pii")(map_rows(docs.select("text"), work, "x ARRAY<DOUBLE>, y INT, generator INT"), "spans")
+    # Of each label: one that is common does not crowd the other out.
+    order = (F.xxhash64("x", "y"), "x", "y", "generator")
+    sides = [spans.where(F.col("y") == y).orderBy(*order).limit(most_spans // 2) for y in (0, 1)]
+    sample = sides[0].union(sides[1]).orderBy(*order).toArrow()
     if not sample.num_rows:
         return Trees()
     x = np.array(sample.column("x").to_pylist())
@@ -243,17 +290,17 @@ def spans_of(text: str, model: Trees) -> tuple[list[tuple[int, int, int]], list[
     return base, sorted(added)
 
 
-def find_personal_data(docs: DataFrame, bound: int = 10_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_personal_data(docs: DataFrame, most_spans: int = 40_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone,
     base_text and spans (kind:start:end by start, comma-joined).
 
     Places are code points, the end exclusive. A null or empty text has no
-    spans. Null ids and repeated rows stay. Without candidates in the sample
+    spans. Null ids and repeated rows stay. Without base spans
     the trees add nothing. An empty table gives no rows. Other columns are not
     looked at.
     """
     rows = normal(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model = train(rows, bound)
+    model = train(rows, most_spans)
 
     def line(spans: list[tuple[int, int, int]]) -> str:
         return ",".join(f"{NAMES[k]}:{a}:{b}" for a, k, b in spans)

@@ -310,6 +310,20 @@ def test_personal_data_equals_the_patterns(spark, texts):
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest() and set(want) <= set(filter(None, r.spans.split(",")))
 
 
+def test_written_out_personal_data_is_added(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(3, 8)))
+    text = lambda v: f"{word()} {word()} {v} {word()} {word()}"
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    values = [f"{word()}.{digits(2)}@{word()}.example.com" for _ in range(400)] + [f"+1 ({digits(3)}) 555-{digits(4)}" for _ in range(400)]
+    rows = [(i, text(v)) for i, v in enumerate(values)]
+    asked = {10_001: "alice (at) mail dot org", 10_002: "(212) 555-7713", 10_003: "4.18.12.905", 10_004: "2021-03-04 11", 10_005: "seen at example.com"}
+    rows += [(i, f"one two {v} three") for i, v in asked.items()]
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
+    assert got[10_001] == f"address:8:{8 + len(asked[10_001])}" and got[10_002] == f"digits:8:{8 + len(asked[10_002])}"
+    assert [got[i] for i in (10_003, 10_004, 10_005)] == ["", "", ""]
+
+
 def test_trees_learn_a_rule():
     rng = np.random.default_rng(3)
     x = rng.random((2000, 3))
