@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -105,9 +107,26 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_rows(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with the package at hand in the workers."""
+    """``mapInArrow`` with the package at hand in the workers. What a task
+    leaves in its worker goes back to the system at the end of the task."""
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        release_memory()
+
+    return df.mapInArrow(task, schema)
+
+
+def release_memory() -> None:
+    """Workers live on between tasks, and freed pieces of their heap would
+    stay theirs; where the C library can give them back, it does."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def bounded_labels(labels: DataFrame, column: str, bound: int, id_col: str = "doc_id") -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorate.llm import bpe, decontaminate, exact_dedup, near_dedup, pii, quality, secrets, sharding, token_files, toxicity
+from quorate.llm import bpe, decontaminate, exact_dedup, fill_in_middle, near_dedup, pii, quality, secrets, sharding, token_files, toxicity
 from quorate.llm.common import held_out, table
 
 
@@ -60,6 +60,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=2, similarity=80)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), with_output=False)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
@@ -71,9 +75,36 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_personal_data": op9_personal_data,
     "op10_near_dedup": op10_near_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLES = {
+    "op11_fill_in_middle": r"""
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+                sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+            FROM documents
+        ), numbers AS (
+            SELECT doc_id, text, units, len(units) AS n,
+                ('0x' || h[1:8])::BIGINT % (len(units) + 1) AS e1, ('0x' || h[9:16])::BIGINT % (len(units) + 1) AS e2,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90
+                    THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM hashed
+        ), parts AS (
+            SELECT doc_id, text, n, form,
+                array_to_string(units[1:least(e1, e2)], '') AS prefix,
+                array_to_string(units[least(e1, e2) + 1:greatest(e1, e2)], '') AS middle,
+                array_to_string(units[greatest(e1, e2) + 1:], '') AS suffix
+            FROM numbers
+        )
+        SELECT doc_id, n, form,
+            CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+            sha256(text) AS restored_sha256
+        FROM parts
+    """,
     "op6_decontaminate": r"""
         WITH doc_words AS (
             SELECT doc_id, regexp_extract_all(
