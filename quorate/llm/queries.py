@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorate.llm import bpe, decontaminate, exact_dedup, fill_in_middle, mixing, near_dedup, pii, quality, secrets, sharding, token_files, toxicity
+from quorate.llm import bpe, decontaminate, exact_dedup, fill_in_middle, mixing, near_dedup, pii, quality, repair, secrets, sharding, token_files, toxicity
 from quorate.llm.common import held_out, table
 
 
@@ -64,6 +64,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), with_output=False)
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.damage(table(spark, sf_dir, "conversations")), times_col="times")
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -81,6 +85,7 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_near_dedup": op10_near_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_repair": op12_repair,
     "op13_mixing": op13_mixing,
 }
 
