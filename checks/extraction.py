@@ -110,6 +110,26 @@ def x2(spark, folder):
     )
 
 
+@query(
+    "x2_outermost_object",
+    """SELECT o_orderkey AS payload_id, o_orderkey % 6 = 3 AS rejected,
+         CASE WHEN o_orderkey % 6 = 3 THEN '' ELSE 'U' || o_custkey END AS cin,
+         CASE o_orderkey % 6 WHEN 1 THEN 'a } b {{ ' || o_orderpriority WHEN 3 THEN '' ELSE o_orderpriority END AS location,
+         CASE o_orderkey % 6 WHEN 4 THEN 'said "' || o_orderstatus || '}"' WHEN 3 THEN '' ELSE o_orderstatus END AS mca_status
+       FROM orders""",
+)
+def x2_outermost(spark, folder):
+    """Deep nesting, braces and quotes in strings and in prose, a broken block
+    before the good one, and outer objects that are cut off behind whole inner
+    ones."""
+    landing = fx.nested_profile_landing(spark, folder)
+    profiles, rejects = parse_profiles(landing, "body", ("payload_id",))
+    lost = rejects.select("payload_id", F.lit(True).alias("rejected"))
+    return profiles.join(lost, "payload_id", "left").select(
+        "payload_id", F.coalesce("rejected", F.lit(False)).alias("rejected"), "cin", "location", "mca_status"
+    )
+
+
 @query(
     "x3_profile_template",
     """SELECT o_orderkey AS payload_id,

@@ -132,6 +132,21 @@ def profile_landing(spark, folder) -> DataFrame:
     )
 
 
+def nested_profile_landing(spark, folder) -> DataFrame:
+    """Profile objects inside prose, one per order, in six shapes."""
+    return spread_table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS payload_id",
+        r"""CASE o_orderkey % 6
+             WHEN 0 THEN concat('Here you go: {"meta": {"src": {"n": ', o_orderkey, '}}, "cin": "U', o_custkey, '", "location": "', o_orderpriority, '", "mca_status": "', o_orderstatus, '"} Bye.')
+             WHEN 1 THEN concat('Found {"cin": "U', o_custkey, '", "location": "a } b {{ ', o_orderpriority, '", "mca_status": "', o_orderstatus, '"}')
+             WHEN 2 THEN concat('Use {this} or { that, a 5" disk: {"location": "', o_orderpriority, '", "mca_status": "', o_orderstatus, '", "cin": "U', o_custkey, '"} {"cin": "no"}')
+             WHEN 3 THEN concat('Sure: {"cin": "U', o_custkey, '", "founders": [{"full_name": "A"}, {"full_name": "B", "x": {"cin": "no"}}')
+             WHEN 4 THEN concat('So: {"mca_status": "said \\"', o_orderstatus, '}\\"", "founders": [{"x": {"y": {}}}], "location": "', o_orderpriority, '", "cin": "U', o_custkey, '"}')
+             ELSE concat('First {"cin": oops, "x": {"cin": "no"}} then {"cin": "U', o_custkey, '", "location": "', o_orderpriority, '", "mca_status": "', o_orderstatus, '"}')
+           END AS body""",
+    )
+
+
 def dirty_names(spark, folder, *also: str) -> DataFrame:
     """Part names with case, blanks, tabs and no-break spaces changed."""
     return table(spark, folder, "part").selectExpr(
