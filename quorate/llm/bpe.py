@@ -17,10 +17,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Remembered, map_rows, normal, portions
+from quorate.llm.common import Remembered, Runs, binary_array, map_rows, normal, portions
 
 def byte_characters() -> list[str]:
     """A printable character for each byte: itself where it prints in Latin-1,
@@ -88,44 +89,64 @@ class ByteBpe:
         # merges lead to it.
         mapped = self.model.encode([t.decode("latin-1").translate(self.table) for t in self.tokens], num_threads=1)
         self.whole = {t: r for r, (t, ids) in enumerate(zip(self.tokens, mapped)) if ids != [r]}
-        self.chunks = Remembered(self._encode_chunks)
+        self.parts = Remembered(self._encode_spaced)
+        self.token_bytes = Runs(self.tokens, "u1")
 
     def _encode_pretokens(self, pieces: list[str]) -> list[bytes]:
         raw = [p.encode() for p in pieces]
         ids = self.model.encode([b.decode("latin-1").translate(self.table) for b in raw], num_threads=1)
         return [np.array([self.whole[b]] if b in self.whole else i, "<u4").tobytes() for b, i in zip(raw, ids)]
 
+    def _encode_spaced(self, parts: list[bytes]) -> list[bytes]:
+        return self._encode_chunks([" " + part.decode() for part in parts])
+
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         split = [self.find(c) for c in chunks]
         pieces = list({p for ps in split for p in ps})
         coded = dict(zip(pieces, self._encode_pretokens(pieces)))
         return [b"".join([coded[p] for p in ps]) for ps in split]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers.
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the first of each text
+        (and the end).
 
         A text is cut before single spaces, where a pre-token always ends, so
-        that the pieces repeat and can be remembered. A space between other
-        white space, or before white space at the end, is no such place; a
-        text that has one is cut by the pattern alone.
+        that the parts repeat; Arrow cuts and finds the distinct ones, which
+        are remembered. A space between other white space, or before white
+        space at the end, is no such place; a text that has one is cut by the
+        pattern alone.
         """
-        return self.chunks.joined([[t] if _RUNS.search(t) else _cut(t) for t in texts])
+        whole = np.fromiter((bool(_RUNS.search(t)) for t in texts.to_pylist()), bool, len(texts))
+        split = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        parts = split.flatten().cast(pa.binary()).dictionary_encode()
+        runs, at = self.parts.look(parts.dictionary)
+        which = at[parts.indices.to_numpy()]
+        lengths = pc.list_value_length(split).to_numpy()
+        firsts = np.concatenate([[0], np.cumsum(lengths)])
+        # The first part of a text has no space before it.
+        heads = pc.if_else(pa.array(whole), texts, pc.list_element(split, 0)).dictionary_encode()
+        which[firsts[:-1]] = heads.indices.to_numpy() + len(runs)
+        return runs.with_more(Runs(self._encode_chunks(heads.dictionary.to_pylist()))).of_texts(which, firsts)
 
-    def decode(self, ids: bytes) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        return binary_array(*self.encode_array(pa.array(texts, pa.string()))).to_pylist()
 
+    def decode_array(self, ids: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all texts, and the first of each text (and the end)."""
+        return self.token_bytes.of_texts(ids, firsts)
 
-_RUNS = re.compile(r"\s (?:\s|\Z)")
+    def decode(self, ids: bytes) -> bytes:
+        numbers = np.frombuffer(ids, "<u4")
+        return self.decode_array(numbers, np.array([0, len(numbers)]))[0].tobytes()
 
 
-def _cut(text: str) -> list[str]:
-    head, *rest = text.split(" ")
-    return [head, *[" " + part for part in rest]] if head else [" " + part for part in rest]
+_RUNS = re.compile(r"\s (?:\s|\Z)")
 
 
 @cache
 def _coder(path: str, pattern: str) -> ByteBpe:
+    """The model stays with a worker; parts of texts are a task's own."""
     return ByteBpe(path, pattern)
 
 
@@ -143,12 +164,14 @@ def encode_documents(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path, pattern)
+        coder.parts.forget()
         for batch in portions(batches):
-            coded = coder.encode(batch.column("text").to_pylist())
-            columns = [batch.column("doc_id"), pa.array(coded, pa.binary())]
+            ids, firsts = coder.encode_array(batch.column("text"))
+            columns = [batch.column("doc_id"), binary_array(ids, firsts)]
             if decode:
-                columns.append(pa.array([coder.decode(ids) for ids in coded], pa.binary()))
+                columns.append(binary_array(*coder.decode_array(ids, firsts)))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: 2 + decode])
+        coder.parts.forget()
 
     rows = normal(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return map_rows(rows, work, fields)

@@ -18,7 +18,10 @@ from pyspark.sql import types as T
 
 from quorate.sources.staging import new_folder, stage
 
-__all__ = ["Remembered", "Stage", "bounded_labels", "held_out", "lower_ascii", "map_rows", "normal", "portions", "ship", "table"]
+__all__ = [
+    "Remembered", "Runs", "Stage", "binary_array", "bounded_labels", "gather", "held_out", "lower_ascii", "map_rows", "normal",
+    "portions", "ship", "table",
+]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SHIPPED: set[str] = set()
@@ -67,31 +70,82 @@ def portions(batches: Iterator[pa.RecordBatch], column: str = "text", size: int
             yield batch.slice(at, stop - at)
 
 
-class Remembered(dict):
-    """Codes of chunks of text: each distinct chunk is coded once, the new
-    ones of a batch together. ``limit`` bounds the memory, not the results."""
-
-    def __init__(self, code: Callable[[list], list[bytes]], limit: int = 250_000):
-        super().__init__()
-        self.code, self.limit = code, limit
-        self.fresh: list = []
-        self.codes: list[bytes] = []
-
-    def __missing__(self, chunk):
-        self.fresh.append(chunk)
-        number = self[chunk] = len(self)
-        return number
-
-    def joined(self, texts: list[list]) -> list[bytes]:
-        if len(self) > self.limit:
-            self.clear()
-            self.codes.clear()
-        look = self.__getitem__
-        numbers = [list(map(look, chunks)) for chunks in texts]
-        self.codes += self.code(self.fresh)
-        self.fresh.clear()
-        codes = self.codes
-        return [b"".join([codes[n] for n in ns]) for ns in numbers]
+class Runs:
+    """Runs of numbers, kept in one array: run i are ``sizes[i]`` of
+    ``values`` from ``starts[i]``."""
+
+    def __init__(self, codes: list[bytes], dtype: str = "<u4"):
+        self.values = np.frombuffer(b"".join(codes), dtype)
+        self.sizes = np.fromiter(map(len, codes), "i8", len(codes)) // self.values.itemsize
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def with_more(self, other: Runs) -> Runs:
+        out = Runs([])
+        out.values = np.concatenate([self.values, other.values])
+        out.sizes = np.concatenate([self.sizes, other.sizes])
+        out.starts = np.concatenate([self.starts, other.starts + len(self.values)])
+        return out
+
+    def some(self, which: np.ndarray) -> Runs:
+        out = Runs([])
+        out.values, firsts = gather(self.values, self.starts, self.sizes, which)
+        out.sizes, out.starts = self.sizes[which], firsts[:-1]
+        return out
+
+    def of_texts(self, which: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Runs ``which``, one after the other, and for each text, whose runs
+        begin at ``firsts``, the first of its numbers (and the end)."""
+        values, places = gather(self.values, self.starts, self.sizes, which)
+        return values, places[firsts]
+
+
+class Remembered:
+    """Codes of pieces of text: a distinct piece is coded once, the new ones of
+    a call together. Pieces and codes are kept in arrays, not as objects;
+    ``limit`` bounds their number and ``bytes_`` their size, not the results."""
+
+    def __init__(self, code: Callable[[list[bytes]], list[bytes]], limit: int = 400_000, bytes_: int = 16_000_000):
+        self.code, self.limit, self.bytes = code, limit, bytes_
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.runs = pa.array([], pa.binary()), Runs([])
+
+    def look(self, pieces: pa.Array) -> tuple[Runs, np.ndarray]:
+        """Runs with the codes of distinct pieces, and where each piece's is."""
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype("i8")
+        fresh = np.flatnonzero(at < 0)
+        if len(fresh):
+            new = pieces.take(pa.array(fresh))
+            at[fresh] = np.arange(len(fresh)) + len(self.known)
+            self.runs = self.runs.with_more(Runs(self.code(new.to_pylist())))
+            self.known = pa.concat_arrays([self.known, new])
+        if len(self.known) > self.limit or self.known.nbytes > self.bytes:
+            self.known, self.runs = pieces, self.runs.some(at)
+            at = np.arange(len(pieces))
+        return self.runs, at
+
+
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``values``, one after the other: run ``which[i]`` begins at
+    ``starts`` and has ``sizes`` of it. Also the first place of each run in
+    what comes out, and the end."""
+    n = sizes[which]
+    ends = np.cumsum(n)
+    firsts = np.concatenate([[0], ends])
+    at = np.arange(firsts[-1]) + np.repeat(starts[which] - firsts[:-1], n)
+    return values[at], firsts
+
+
+def binary_array(values: np.ndarray, firsts: np.ndarray) -> pa.Array:
+    """A binary column from the bytes of ``values``, cut at ``firsts``."""
+    offsets = firsts * values.itemsize
+    if offsets[-1] < 2**31:
+        return pa.Array.from_buffers(pa.binary(), len(firsts) - 1, [None, pa.py_buffer(offsets.astype("<i4")), pa.py_buffer(values)])
+    return pa.array([values[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:])], pa.binary())
 
 
 def ship(spark: SparkSession) -> None:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Stage, map_rows, normal
+from quorate.llm.common import Stage, map_rows, normal, portions
 
 PERMUTATIONS, ROWS = 80, 5
 BANDS = 2 * PERMUTATIONS // ROWS
@@ -50,22 +50,19 @@ class _Ids(dict):
         return number
 
 
-_ID_OF = _Ids()
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(text: str, k: int) -> np.ndarray:
+def shingle_set(text: str, k: int, id_of: _Ids) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct k-word shingles. A-Z are lowered;
     words are what ASCII white space separates; fewer than k words are one
     shingle; no words, none."""
     words = text.encode().lower().split()
     if not words:
         return np.zeros(0, "u8")
-    ids = np.fromiter(map(_ID_OF.__getitem__, words), "u8", len(words))
+    ids = np.fromiter(map(id_of.__getitem__, words), "u8", len(words))
     k = min(k, len(ids))
     h = np.full(len(ids) - k + 1, k, "u8")
     for j in range(k):
@@ -102,9 +99,9 @@ def bands(values: np.ndarray) -> np.ndarray:
 
 def _sketches(rows: DataFrame, k: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        permutations = _permutations()
-        for batch in batches:
-            sets = [shingle_set(t, k) for t in batch.column("text").to_pylist()]
+        permutations, id_of = _permutations(), _Ids()
+        for batch in portions(batches):
+            sets = [shingle_set(t, k, id_of) for t in batch.column("text").to_pylist()]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             names = [bands(signature(s, permutations)) if len(s) else np.zeros(0, "i8") for s in sets]
             columns = [
@@ -121,8 +118,9 @@ def _sketches(rows: DataFrame, k: int) -> DataFrame:
 
 def _sets(rows: DataFrame, k: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, k) for t in batch.column("text").to_pylist()]
+        id_of = _Ids()
+        for batch in portions(batches):
+            sets = [shingle_set(t, k, id_of) for t in batch.column("text").to_pylist()]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             columns = [
                 pa.array(digests, pa.binary()),

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Stage, map_rows, normal
+from quorate.llm.common import Stage, map_rows, normal, portions
 
 BASE = ("email", "ip", "card", "phone")
 LOOSE = ("address", "digits", "dotted")
@@ -243,7 +243,7 @@ def train(docs: DataFrame, most_spans: int = 40_000) -> Trees:
     ``most_spans``, chosen by a hash of the span."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [r for t in batch.column("text").to_pylist() for r in labelled(t)]
             columns = [
                 pa.array([f for f, _, _ in found], pa.list_(pa.float64())),
@@ -306,7 +306,7 @@ def find_personal_data(docs: DataFrame, most_spans: int = 40_000, id_col: str =
         return ",".join(f"{NAMES[k]}:{a}:{b}" for a, k, b in spans)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [spans_of(t, model) for t in batch.column("text").to_pylist()]
             counts = [pa.array([sum(s[1] == k for s in base) for base, _ in found], pa.int64()) for k in range(4)]
             texts = [pa.array([line(b) for b, _ in found]), pa.array([line(sorted(b + a)) for b, a in found])]

@@ -27,7 +27,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import bounded_labels, map_rows, normal
+from quorate.llm.common import bounded_labels, map_rows, normal, portions
 
 BUCKETS, DIM, WINDOW, NONZERO = 8192, 64, 2, 2
 BLOCKS = 64  # parts in which the table of vectors is summed
@@ -45,12 +45,9 @@ class _Buckets(dict):
         return number
 
 
-_BUCKET_OF = _Buckets()
-
-
-def token_buckets(text: str) -> np.ndarray:
+def token_buckets(text: str, bucket_of: _Buckets) -> np.ndarray:
     tokens = _TOKEN.findall(text.encode())
-    return np.fromiter(map(_BUCKET_OF.__getitem__, tokens), "i4", len(tokens))
+    return np.fromiter(map(bucket_of.__getitem__, tokens), "i4", len(tokens))
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -67,10 +64,10 @@ def word_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = index_vectors()
         sums = np.zeros(BUCKETS * DIM)
-        held, size = [], 0
-        for batch in batches:
+        held, size, bucket_of = [], 0, _Buckets()
+        for batch in portions(batches):
             for text in batch.column("text").to_pylist():
-                ids = token_buckets(text)
+                ids = token_buckets(text, bucket_of)
                 for at in range(0, len(ids), PIECE):
                     piece = ids[at : at + PIECE]
                     if at:
@@ -118,11 +115,11 @@ def _add_across(sums, ids, at, places, signs) -> None:
                 np.add.at(sums, here.astype("i8") * DIM + places[there, k], signs[there, k])
 
 
-def pooled(texts: list[str], vectors: np.ndarray) -> np.ndarray:
+def pooled(texts: list[str], vectors: np.ndarray, bucket_of: _Buckets) -> np.ndarray:
     """Features of each text; an empty one has zeros."""
     out = np.zeros((len(texts), FEATURES), "f4")
     for row, text in zip(out, texts):
-        ids = token_buckets(text)
+        ids = token_buckets(text, bucket_of)
         if not len(ids):
             continue
         total, squares = np.zeros(DIM), np.zeros(DIM)
@@ -203,8 +200,9 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, bound: int =
     rows = normal(docs).join(chosen, "doc_id").select("label", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            features = pooled(batch.column("text").to_pylist(), vectors)
+        bucket_of = _Buckets()
+        for batch in portions(batches):
+            features = pooled(batch.column("text").to_pylist(), vectors, bucket_of)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array(list(features), pa.list_(pa.float32()))], names=["label", "features"]
             )
@@ -229,8 +227,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, bound: int = 20_000, thres
     net = train(docs, labels, vectors, bound)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = net.probabilities(pooled(batch.column("text").to_pylist(), vectors))
+        bucket_of = _Buckets()
+        for batch in portions(batches):
+            scores = net.probabilities(pooled(batch.column("text").to_pylist(), vectors, bucket_of))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     rows = normal(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -247,8 +246,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, bound: int = 20_000, threshold
     schema = docs.schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        bucket_of = _Buckets()
+        for batch in portions(batches):
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(net.probabilities(pooled(texts, vectors)) >= threshold))
+            yield batch.filter(pa.array(net.probabilities(pooled(texts, vectors, bucket_of)) >= threshold))
 
     return map_rows(docs, work, schema)

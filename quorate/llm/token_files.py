@@ -23,12 +23,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Remembered, map_rows, normal, portions
+from quorate.llm.common import Remembered, Runs, binary_array, map_rows, normal, portions
 from quorate.sources.staging import new_folder, stage
 
 MAGIC = b"QDAC1\n"
@@ -60,11 +61,8 @@ class WordBpe:
         return [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
     def _encode_words(self, words: list[bytes]) -> list[bytes]:
-        split = {w: m.groups() for w in words if (m := _TAIL.fullmatch(w))}
-        parts = {p for pair in split.values() for p in pair}
-        parts.update(w for w in words if w not in split)
-        plain = [p for p in parts if _LETTERS.fullmatch(p)]
-        odd = [p for p in parts if not _LETTERS.fullmatch(p)]
+        plain = [w for w in words if _LETTERS.fullmatch(w)]
+        odd = [w for w in words if not _LETTERS.fullmatch(w)]
         coded: dict[bytes, bytes] = {}
         for at in range(0, len(plain), 1000):
             # Words of plain letters are a pre-token each, and the last token
@@ -77,34 +75,77 @@ class WordBpe:
                 continue
             raw, bounds = ids.tobytes(), (cuts * 4).tolist()
             coded.update((w, raw[a:b]) for w, a, b in zip(some, [0, *bounds], bounds))
-        coded.update(zip(odd, self._direct([p.decode() for p in odd])))
-        return [coded[split[w][0]] + coded[split[w][1]] if w in split else coded[w] for w in words]
+        for at in range(0, len(odd), 500):
+            # Tokens of other words are told apart by where they begin.
+            some = odd[at : at + 500]
+            texts = [w.decode() for w in some]
+            found = self.library.encode(" ".join(texts), add_special_tokens=False)
+            raw = np.array(found.ids, "<u4").tobytes()
+            begins = np.array([begin for begin, _ in found.offsets], "i8")
+            ends = np.cumsum([len(t) + 1 for t in texts])
+            bounds = (np.searchsorted(begins, ends) * 4).tolist()
+            coded.update((w, raw[a:b]) for w, a, b in zip(some, [0, *bounds], bounds))
+        return [coded[w] for w in words]
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the first of each text
+        (and the end). Lowering, splitting and finding the distinct words are
+        Arrow's, the library is asked for those only."""
+        special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
+        plain = texts
+        if len(special):
+            mask = np.zeros(len(texts), bool)
+            mask[special] = True
+            plain = pc.if_else(pa.array(mask), "", texts)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        words = split.flatten().dictionary_encode()
+        # Trailing punctuation is a pre-token of its own, so that it and the
+        # word before it are remembered apart.
+        parts = pc.extract_regex(words.dictionary, _TAIL)
+        no_tail = pc.is_null(parts)
+        first = pc.if_else(no_tail, words.dictionary, pc.struct_field(parts, "word")).cast(pa.binary())
+        tail = pc.fill_null(pc.struct_field(parts, "tail"), "").cast(pa.binary())
+        both = pa.concat_arrays([first, tail]).dictionary_encode()
+        runs, at = self.words.look(both.dictionary)
+        at = at[both.indices.to_numpy()]
+        which = words.indices.to_numpy()
+        pairs = np.stack([at[: len(first)][which], at[len(first) :][which]], 1)
+        lengths = pc.list_value_length(split).to_numpy()
+        firsts = np.concatenate([[0], np.cumsum(lengths)])
+        if len(special):
+            # A text without words has one empty piece; that of a special text
+            # becomes the whole text.
+            pairs[firsts[:-1][special], 0] = np.arange(len(special)) + len(runs)
+            runs = runs.with_more(Runs(self._direct([texts[int(i)].as_py() for i in special])))
+        return runs.of_texts(pairs.reshape(-1), firsts * 2)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        special = ["<|" in t for t in texts]
-        coded = self.words.joined([[] if s else t.encode().lower().split() for s, t in zip(special, texts)])
-        return [self._direct([t])[0] if s else c for s, t, c in zip(special, texts, coded)]
+        return binary_array(*self.encode_array(pa.array(texts, pa.string()))).to_pylist()
 
 
-_TAIL = re.compile(rb"(.*[a-z0-9])([!-/:-@\[-`{-~]+)", re.DOTALL)
+_TAIL = r"^(?s)(?P<word>.*[a-z0-9])(?P<tail>[!-/:-@\[-`{-~]+)$"
 _LETTERS = re.compile(rb"[a-z]+")
 
 
 @cache
 def _coder(path: str) -> WordBpe:
+    """The library's tables stay with a worker; words are a task's own."""
     return WordBpe(path)
 
 
 def encode_words(docs: DataFrame, path: str, end_id: int | None = None) -> DataFrame:
     """(doc_id, ids) for rows of (doc_id, text), in their order."""
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
-        for batch in portions(batches):
-            coded = [ids + end for ids in coder.encode(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(coded, pa.binary())], names=["doc_id", "ids"])
+        coder.words.forget()
+        for batch in portions(batches, size=4_000_000):
+            ids, firsts = coder.encode_array(batch.column("text"))
+            if end_id is not None:
+                ids, firsts = np.insert(ids, firsts[1:], end_id), firsts + np.arange(len(firsts))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary_array(ids, firsts)], names=["doc_id", "ids"])
+        coder.words.forget()
 
     return map_rows(docs.select("doc_id", "text"), work, "doc_id BIGINT, ids BINARY")
 
