@@ -11,7 +11,7 @@ from quorate.operators.bundle import all_rejects, extract_bundle, news_with_fall
 from quorate.operators.html_sections import extract_sections
 from quorate.operators.profiles import SCALARS, parse_profiles
 from quorate.operators.prompts import build_prompts
-from quorate.sources import entity_list, new_folder, read_entity_file, route_by_content_type, scan, split_by_status
+from quorate.sources import entity_list, new_folder, read_entities, read_entity_file, route_by_content_type, scan, split_by_status
 
 DAY = "yyyy-MM-dd"
 
@@ -47,6 +47,23 @@ def s2(spark, folder):
     return good.select("entity_id", F.col("grant_year").cast("int").alias("grant_year"))
 
 
+@query(
+    "s2_plain_list",
+    """SELECT 'full' AS mode, 'C/' || c_custkey AS entity_id, row_number() OVER (ORDER BY c_custkey) - 1 AS ordinal FROM customer
+       UNION ALL SELECT 'pilot', 'C/' || c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT 10)""",
+)
+def s2_plain(spark, folder):
+    """A list of several files without a column for the order: the rows'
+    places in it, of the whole list and of its top."""
+    path = new_folder(spark, "plain-list")
+    fx.entities(spark, folder).repartitionByRange(5, "ordinal").sortWithinPartitions("ordinal").select(
+        F.col("entity_id").alias("Reference Number"), F.lit("x").alias("Name Of The Company"), F.lit("2001").alias("Grant Year")
+    ).write.option("header", True).csv(path)
+    full = read_entity_file(spark, path).withColumn("mode", F.lit("full"))
+    pilot, _ = read_entities(spark, path, mode="pilot")
+    return full.select("mode", "entity_id", "ordinal").unionByName(pilot.select(F.lit("pilot").alias("mode"), "entity_id", "ordinal"))
+
+
 @query(
     "s3_scan_name_or_sql",
     """SELECT 'all' AS scan, o_orderkey, o_orderstatus FROM orders

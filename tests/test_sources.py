@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from quorate.sources import entity_list, read_entities, split_by_status, staging_root
+from quorate.sources import entity_list, read_entities, read_entity_file, split_by_status, staging_root
 
 
 def test_csv_list(spark, tmp_path):
@@ -22,6 +22,36 @@ def test_csv_list(spark, tmp_path):
     assert {r["entity_id"] for r in pilot.collect()} == {"R1", "R2"}
 
 
+@pytest.fixture
+def small_pieces(spark):
+    """Files are read in pieces of 2 kB."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for n, value in zip(names, ("2048", "16")):
+        spark.conf.set(n, value)
+    yield
+    for n, value in zip(names, before):
+        spark.conf.set(n, value)
+
+
+@pytest.mark.parametrize("sizes", [[700], [5, 0, 300, 1, 90]])
+def test_plain_list_in_file_order(spark, tmp_path, small_pieces, sizes):
+    """No column tells the order; files are of several pieces, or empty."""
+    wanted = []
+    for number, size in enumerate(sizes):
+        ids = [f"R{number}-{(i * 7919) % 1000}" for i in range(size)]
+        wanted += ids
+        lines = [f"{i},Company {i},{2000 + n % 20}" for n, i in enumerate(ids)]
+        (tmp_path / f"list-{number}.csv").write_text("\n".join(["Reference Number,Name Of The Company,Grant Year", *lines]) + "\n")
+    rows = read_entity_file(spark, str(tmp_path))
+    assert spark.read.csv(str(tmp_path)).rdd.getNumPartitions() > 1
+    assert [r["entity_id"] for r in sorted(rows.collect(), key=lambda r: r["ordinal"])] == wanted
+    assert sorted(r["ordinal"] for r in rows.collect()) == list(range(len(wanted)))
+    for n in (3, 10, 400):
+        pilot, bad = read_entities(spark, str(tmp_path), mode="pilot", n=n)
+        assert {r["entity_id"]: r["ordinal"] for r in pilot.collect()} == dict(zip(wanted[:n], range(n))) and bad.count() == 0
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         entity_list(spark.createDataFrame([("a", "b", "1", 1)], "entity_id STRING, entity_name STRING, grant_year STRING, ordinal INT"), "other")
