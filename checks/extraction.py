@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.registry import query
 from quorate.operators import feeds
+from quorate.operators import payloads as P
 from quorate.operators.bundle import all_rejects, extract_bundle, news_with_fallback
 from quorate.operators.html_sections import extract_sections
 from quorate.operators.profiles import SCALARS, parse_profiles
 from quorate.operators.prompts import build_prompts
-from quorate.sources import entity_list, new_folder, read_entities, read_entity_file, route_by_content_type, scan, split_by_status
+from quorate.sources import entity_list, new_folder, read_entities, read_entity_file, read_landing, route_by_content_type, scan, split_by_status
 
 DAY = "yyyy-MM-dd"
 
@@ -91,6 +92,28 @@ def s4(spark, folder):
     )
 
 
+@query(
+    "s4_landing_address",
+    """SELECT 'C/' || (p_partkey % 100) AS big_award_id, CASE WHEN p_partkey % 2 = 0 THEN 'WO' || p_partkey || '-' || i END AS patent_number,
+         CASE WHEN p_partkey % 3 <> 0 THEN 'https://patents.example.org/?q=' || p_partkey END AS source_url
+       FROM part, LATERAL (SELECT unnest(generate_series(0, CASE WHEN p_partkey % 2 = 0 THEN p_partkey % 4 ELSE least(9, p_partkey % 14) END)) AS i)
+       WHERE p_partkey % 10 <> 4""",
+)
+def s4_address(spark, folder):
+    """Landing files from before there was an address column, and later ones,
+    in one folder; patents carry the address of their answer."""
+    path = new_folder(spark, "landing")
+    moment = F.lit("2024-01-01 00:00:00").cast("timestamp").alias("fetched_at")
+    answers = fx.patent_landing(spark, folder)
+    shape = ["entity_id", F.lit("patents").alias("source"), "content_type", F.lit(200).alias("status_code"), "body", moment]
+    old, new = answers.where("payload_id % 3 = 0"), answers.where("payload_id % 3 <> 0")
+    old.select(*shape).write.parquet(path)
+    new.select(*shape, F.concat(F.lit("https://patents.example.org/?q="), "payload_id").alias("url")).write.mode("append").parquet(path)
+    items, _ = extract_bundle(read_landing(spark, path))
+    none = items["sections"].limit(0)
+    return P.patent_rows(items["patents_json"], items["patents_html"], none).select("big_award_id", "patent_number", "source_url")
+
+
 @query(
     "x1_prompts",
     f"""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'About ' || c_name ELSE NULL END AS custom_prompt,

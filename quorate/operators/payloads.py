@@ -109,7 +109,8 @@ def patent_rows(
         filing_year=_number("filing_year", "smallint"),
         **{c: F.col(c) for c in ("patent_number", "title", "inventors", "jurisdiction_list", "source", "source_url")},
     )
-    titles = shaped(from_html, big_award_id=entity, title=F.col("title"), source=F.col("source"))
+    address = {"source_url": F.col("source_url")} if "source_url" in from_html.columns else {}
+    titles = shaped(from_html, big_award_id=entity, title=F.col("title"), source=F.col("source"), **address)
     site = shaped(
         _with_site_url(sections.where(F.col("section") == "patents"), site_urls),
         big_award_id=entity,

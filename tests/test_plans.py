@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from quorate.operators import feeds
 
 PYTHON_ALLOWED = {
     "x6_html_sections", "x9_patent_titles", "x15_isolated_sources", "g6_people_rows", "g7_product_rows", "g8_patent_rows",
-    "g9_publication_rows",
+    "g9_publication_rows", "s4_landing_address",
 }
 
 
@@ -43,3 +45,25 @@ def test_top_rows_are_cut_before_the_shuffle(spark, data):
 def test_scan_is_pruned(spark, data):
     plan = plan_of(contract.queries()["l8_cascade_delete"](spark, data))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+def test_every_body_is_parsed_once(spark):
+    """One scan for all feeds, one parse in it for each of them."""
+    rows = spark.createDataFrame([("a", "news", "{}")], "entity_id STRING, source STRING, body STRING")
+    routes = {name: F.col("source") == name for name in ("patents_json", "publications_json", "news_json", "news_rss")}
+    plan = feeds.marked_rows(rows, routes, ("entity_id",))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 3 and plan.count("from_xml(") == 1 and plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_consumers_read_their_feed_only(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("a", "news", '{"news": [{"title": "n"}, {"title": "m"}]}'), ("b", "news", "{"), ("c", "rss", "<rss><channel/></rss>"), ("d", "no", "")],
+        "entity_id STRING, source STRING, body STRING",
+    )
+    marked = feeds.mark_feeds(rows, {"news_json": F.col("source") == "news", "news_rss": F.col("source") == "rss"}, ("entity_id",), str(tmp_path))
+    news = marked.items("news_json")
+    plan = plan_of(news)
+    assert "PartitionFilters: [isnotnull(feed" in plan and "news_rss:struct" not in plan and "body:string" not in plan
+    assert [(r["ordinal"], r["headline"]) for r in news.orderBy("ordinal").collect()] == [(0, "n"), (1, "m")]
+    assert {r[0] for f in ("news_json", "news_rss") for r in marked.answered(f).collect()} == {"a", "c"}
+    assert [tuple(r) for r in marked.unreadable().collect()] == [("news_json", "b", "{")]
