@@ -267,6 +267,33 @@ def l7_enforced(spark, folder):
     return table.read().select("patent_id", F.lit("stored").alias("state")).unionByName(refused.select("patent_id", F.col("reason").alias("state")))
 
 
+@query(
+    "l7_values_in_order",
+    """SELECT 'C/' || c_custkey AS big_award_id,
+         CASE c_custkey % 5 WHEN 0 THEN 'W' || c_custkey
+           WHEN 1 THEN CASE WHEN c_custkey = 1 THEN 'V0' ELSE 'V' || (c_custkey - 1) END ELSE 'V' || c_custkey END AS cin,
+         CASE WHEN (c_custkey % 5 = 2 AND c_custkey < (SELECT max(c_custkey) FROM customer)) OR (c_custkey % 5 = 4 AND c_custkey < (SELECT max(c_custkey) FROM customer))
+           THEN 'cin is taken' END AS reason
+       FROM customer""",
+)
+def l7_in_order(spark, folder):
+    """A second load in which numbers are given up, taken over, wanted too
+    early and wanted in vain. The last company of all finds its number free."""
+    table = Table(spark, new_folder(spark, "tables"), COMPANIES, buckets=8).create()
+    first = fx.table(spark, folder, "customer").selectExpr(
+        "concat('C/', c_custkey) AS big_award_id", "c_name AS registered_name", "concat('V', c_custkey) AS cin", "c_custkey AS ordinal"
+    )
+    load(table, first, _now(), run_version(NOW), ("ordinal",))
+    last = first.agg(F.max("ordinal")).first()[0]
+    wish = F.expr(
+        f"""CASE ordinal % 5 WHEN 0 THEN concat('W', ordinal) WHEN 1 THEN concat('V', ordinal - 1)
+              WHEN 3 THEN cin ELSE CASE WHEN ordinal = {last} THEN cin ELSE concat('V', ordinal + 1) END END"""
+    )
+    refused = load(table, first.withColumn("cin", wish), _now(), run_version(NOW), ("ordinal",))
+    why = refused.select("big_award_id", "reason")
+    return table.read().select("big_award_id", "cin").join(why, "big_award_id", "left")
+
+
 def _outcomes(spark, folder):
     """An outcome per user: errors fail it, many views do not pass."""
     events = fx.table(spark, folder, "events")

@@ -6,11 +6,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quorate.schemas import ENTITY_KEY, TableSpec
+from quorate.sources.staging import new_folder, stage
 
 
 def apply_defaults(df: DataFrame, spec: TableSpec, now: Column, also: Sequence[str] = ()) -> DataFrame:
@@ -167,10 +168,11 @@ def enforce(
 ) -> tuple[DataFrame, DataFrame]:
     """Split a batch into the rows its table may hold and the others, with a
     ``reason``: a value that does not fit its type, a null or a text too long
-    where the table forbids it, a unique value that an earlier row (by
-    ``order`` and then key) or another key in ``held`` has, a row whose
-    parent is not in ``parents``. The table's own keys are not tested for
-    doubles, they are what a load goes by."""
+    where the table forbids it, a unique value that another key has when the
+    row's turn comes (see ``first_come``; ``held`` has the stored rows whose
+    values the batch wants), a row whose parent is not in ``parents``. The
+    table's own keys are not tested for doubles, they are what a load goes
+    by."""
     reasons = []
     for f in spec.schema:
         if f.name in df.columns:
@@ -181,18 +183,8 @@ def enforce(
         if f.name in spec.not_null:
             reasons.append((F.col(f.name).isNull() if f.name in df.columns else F.lit(True), f"{f.name} is missing"))
     marked = df.withColumn("reason", F.coalesce(*[F.when(bad, why) for bad, why in reasons], F.lit(None).cast("string")))
-    own = (spec.primary_key, spec.natural_key)
-    for c in (c for c in spec.unique if c not in own and c in df.columns):
-        # One row of each value may stay: the first key that gives it.
-        given = marked.where(F.col("reason").isNull() & F.col(c).isNotNull())
-        tie = F.struct(*order, spec.primary_key)
-        first = given.groupBy(c).agg(F.min_by(spec.primary_key, tie).alias("_owner"))
-        if held is not None:
-            taken = held.where(F.col(c).isNotNull()).groupBy(c).agg(F.min(spec.primary_key).alias("_holder"))
-            first = first.join(taken, c, "left").select(c, F.coalesce("_holder", "_owner").alias("_owner"))
-        doubled = F.col("reason").isNull() & F.col("_owner").isNotNull() & ~F.col("_owner").eqNullSafe(F.col(spec.primary_key))
-        marked = marked.join(first, c, "left").withColumn("reason", F.when(doubled, f"{c} is taken").otherwise(F.col("reason")))
-        marked = marked.select(*df.columns, "reason")
+    for c in unique_columns(spec, df.columns):
+        marked = first_come(marked, spec.primary_key, c, order, held)
     if parents is not None and spec.parent_key in df.columns:
         known = parents.select(spec.parent_key).distinct().withColumn("_known", F.lit(True))
         orphan = F.col("reason").isNull() & F.col(spec.parent_key).isNotNull() & F.col("_known").isNull()
@@ -201,6 +193,72 @@ def enforce(
     return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull())
 
 
+def unique_columns(spec: TableSpec, columns: Sequence[str]) -> list[str]:
+    """Unique columns of a batch besides the keys that a load goes by."""
+    return [c for c in spec.unique if c not in (spec.primary_key, spec.natural_key) and c in columns]
+
+
+def first_come(marked: DataFrame, key: str, column: str, order: Sequence[str], held: DataFrame | None) -> DataFrame:
+    """Refuse rows whose value of a unique column another key has at that
+    moment, as if rows came one by one in ``order``. A key gives its value up
+    with its next row that is taken; a refused row changes nothing.
+
+    Only values that two keys want are looked at, and all rows of those keys.
+    Whether a row is taken depends on rows before it: all are taken at first,
+    and each round judges every row by the round before, until nothing changes.
+    A round settles at least the first row that was wrong; chains in which each
+    refusal undoes the next are as many rounds as they are long. Of keys that
+    were looked at, only the last row that is taken goes on, so that a load
+    does not choose another one.
+    """
+    columns = marked.columns
+    rows = marked.withColumn("_row", F.xxhash64(*columns))
+    valid = rows.where("reason IS NULL")
+    claims = valid.where(F.col(column).isNotNull()).select(F.col(column).alias("_value"), F.col(key).alias("_key"))
+    if held is not None:
+        kept = held.where(F.col(column).isNotNull()).select(F.col(column).cast(marked.schema[column].dataType).alias("_value"), F.col(key).cast(marked.schema[key].dataType).alias("_key"))
+        claims = claims.unionByName(kept)
+    wanted = claims.groupBy("_value").agg(F.min("_key").alias("_a"), F.max("_key").alias("_b")).where("_a != _b").select("_value")
+    folder = new_folder(marked.sparkSession, "first-come")
+    wanted = stage(wanted, folder, "wanted")
+    if wanted.isEmpty():
+        return marked
+    keys = stage(claims.join(wanted, "_value", "left_semi").select("_key").distinct(), folder, "keys")
+
+    at = F.struct(*order, F.col(key), "_row")
+    events = valid.join(keys, valid[key] == keys["_key"], "left_semi").select(
+        F.col(key).alias("_key"), F.col(column).alias("_value"), at.alias("_at"), "_row", F.lit(False).alias("_stored")
+    )
+    if held is not None:
+        first = kept.join(keys, "_key", "left_semi").select("_key", "_value", F.lit(None).cast(events.schema["_at"].dataType).alias("_at"), F.lit(None).cast("bigint").alias("_row"), F.lit(True).alias("_stored"))
+        events = events.unionByName(first)
+    state, round_ = stage(events.withColumn("_taken", F.lit(True)), folder, "round0"), 0
+    turn = [F.col("_stored").desc(), F.col("_at")]
+    after = Window.partitionBy("_key").orderBy(*turn).rowsBetween(1, Window.unboundedFollowing)
+    before = Window.partitionBy("_value").orderBy(*turn).rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        # What the next taken row of the key ends, and who had the value last.
+        ended = state.withColumn("_end", F.first(F.when(F.col("_taken"), F.col("_at")), ignorenulls=True).over(after))
+        claim = F.when(F.col("_taken") & F.col("_value").isNotNull(), F.struct("_key", "_end"))
+        last = ended.withColumn("_last", F.last(claim, ignorenulls=True).over(before))
+        free = F.col("_last").isNull() | (F.col("_last._key") == F.col("_key")) | (F.col("_last._end") < F.col("_at"))
+        judged = last.withColumn("_now", F.col("_stored") | F.col("_value").isNull() | F.coalesce(free, F.lit(False)))
+        round_ += 1
+        judged = stage(judged.drop("_end", "_last"), folder, f"round{round_}")
+        settled = judged.where("_taken != _now").isEmpty()
+        state = judged.drop("_taken").withColumnRenamed("_now", "_taken")
+        if settled:
+            break
+    by_key = Window.partitionBy("_key").orderBy(F.col("_at").desc())
+    ranked = state.where("NOT _stored").withColumn("_rank", F.when(F.col("_taken"), F.count_if("_taken").over(by_key)))
+    verdict = ranked.groupBy("_key", "_row").agg(F.max("_taken").alias("_taken"), F.min("_rank").alias("_rank"))
+    told = rows.join(verdict.withColumnRenamed("_key", key), [key, "_row"], "left")
+    over = F.col("reason").isNull() & F.col("_taken") & (F.col("_rank") > 1)
+    told = told.where(~F.coalesce(over, F.lit(False)))
+    taken = F.col("reason").isNull() & (F.col("_taken") == F.lit(False))
+    return told.withColumn("reason", F.when(taken, f"{column} is taken").otherwise(F.col("reason"))).select(*columns)
+
+
 def check_constraints(
     df: DataFrame,
     table: str,
