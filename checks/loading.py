@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -24,7 +24,7 @@ from quorate.operators.load import (
 from quorate.plans.loads import load
 from quorate.schemas import COMPANIES, FUNDING, NEWS, PATENTS, PEOPLE, PUBLICATIONS
 from quorate.sources import new_folder, stage
-from quorate.store import Table
+from quorate.store import KeySketch, Table
 
 NOW = datetime(2025, 3, 1, 12, 30)
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -249,6 +249,27 @@ def l5_stored(spark, folder):
     return table.read(with_slice=True).select("news_id", F.col("slice").alias("run"))
 
 
+@query(
+    "l5_sketched_append",
+    """WITH o AS (SELECT o_orderkey AS k, ntile(20) OVER (ORDER BY o_orderkey) AS t FROM orders)
+       SELECT k AS news_id, 'run' || t AS run FROM o WHERE k % 3 <> 0
+       UNION ALL SELECT k, 'late' FROM o WHERE t IN (4, 5) AND k % 3 = 0""",
+)
+def l5_sketched(spark, folder):
+    """A late batch that repeats two of twenty stored runs, with the rows that
+    they lacked: bitmaps tell which runs to look into."""
+    table = Table(spark, new_folder(spark, "tables"), NEWS).create()
+    tile = F.concat(F.lit("run"), F.ntile(20).over(Window.orderBy("news_id")))
+    orders = fx.table(spark, folder, "orders").select(F.col("o_orderkey").alias("news_id")).withColumn("run", tile)
+    orders = stage(orders, new_folder(spark, "runs"), "orders")
+    stored = apply_defaults(orders.where("news_id % 3 <> 0"), NEWS, _now(), ("run",))
+    runs = [f"run{i}" for i in range(1, 21)]
+    table.replace(stored, F.col("run"), runs, new_folder(spark, "load"))
+    KeySketch(table, ("news_id",)).write(stored, F.col("run"))
+    load(table, orders.where("run IN ('run4', 'run5')").drop("run"), _now(), "late", dedupe_keys=("news_id",))
+    return table.read(with_slice=True).select("news_id", F.col("slice").alias("run"))
+
+
 @query(
     "l7_enforced_load",
     """WITH t AS (SELECT o_orderkey AS k, o_orderkey % 7 = 0 AS no_number, o_orderkey % 11 = 0 AS long, o_orderkey % 13 = 0 AS misfit,
