@@ -1,13 +1,15 @@
 """Sharding by vector bin packing.
 
 Documents of equal text are a group with a vector of bytes, tokens and rows.
-A group that is large against a shard is cut into slices by a hash of the id;
-small groups are gathered by a hash of the text into units. There are at most
-``UNITS`` units and a bounded number of slices, whatever the input, so their
-vectors can be packed on the driver: in order of falling size, each is put into
-the shard for which the dot product of its vector with the residual capacity
-is highest. A last pass moves small units from shards with too many bytes to
-those with too few.
+Groups stay whole: one that is large against a shard (``HEAVY``) is a unit of
+its own, small ones are gathered by a hash of the text into units. Only a group
+that is larger than a shard (``WHOLE``) is cut, by a hash of the id, into
+slices of about ``SLICE`` of a shard, small enough to level with. There are at most ``UNITS`` units and a
+bounded number of heavy groups, whatever the input, so their vectors can be
+packed on the driver: in order of falling size, each is put into the shard for
+which the dot product of its vector with the residual capacity is highest.
+Then units of the fullest shard are placed again, by the dot product weighed
+for the law alone (bytes), as long as that levels the shards.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from quorate.llm.common import Stage, normal
 
 UNITS = 16_384
 OVERHEAD = 16  # bytes that a row takes besides its text
-SLICE = 1 / 32  # share of a shard beyond which a group is cut
+HEAVY = 1 / 32  # share of a shard from which a group is a unit of its own
+WHOLE = 1.0  # shards up to which a group stays whole
+SLICE = 1 / 32  # share of a shard that a slice of a larger group has
 
 
 def pack(vectors: np.ndarray, shards: int) -> np.ndarray:
@@ -38,8 +42,10 @@ def pack(vectors: np.ndarray, shards: int) -> np.ndarray:
 
 
 def level(vectors: np.ndarray, places: np.ndarray, shards: int, rounds: int = 20_000) -> np.ndarray:
-    """Move units from the shard with most of the first dimension to the one
-    with least, as long as that brings the two nearer."""
+    """Place units of the shard with most of the law's dimension (the first)
+    again, as long as that levels the shards. The dot product of a unit with
+    the residual capacity, weighed for that dimension alone, is highest where
+    there is least of it."""
     places = places.copy()
     load = np.bincount(places, vectors[:, 0], shards)
     members = [np.flatnonzero(places == s).tolist() for s in range(shards)]
@@ -64,7 +70,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
 
     ``size`` is the UTF-8 bytes of the text (null: none) and 16; slots are
     gapless from 0 in each shard, in order of unit and id. Equal texts are
-    together unless their group is larger than ``SLICE`` of a shard. Null ids
+    in one shard unless their group is larger than ``WHOLE`` shards in bytes,
+    tokens or rows; then slices of it are placed. Null ids
     and repeated rows are placed like others. An empty table gives no rows,
     fewer documents than shards leave shards empty. Other columns are not
     looked at.
@@ -81,19 +88,19 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     )
     rows = staged(rows.withColumn("place", F.monotonically_increasing_id()), "rows")
     total = rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("size", "tokens")), F.count("*").alias("rows")).first()
-    most = [max(1.0, total[c] / shards * SLICE) for c in ("size", "tokens", "rows")]
     groups = rows.groupBy("h").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
-    times = F.greatest(*(F.ceil(F.col(c) / m) for c, m in zip(("size", "tokens", "rows"), most)))
-    # At most 3 * shards / SLICE groups can be this large, and one document
-    # can't be cut.
-    heavy = groups.where(F.col("rows") > 1).withColumn("slices", F.least(times, F.col("rows"))).where("slices > 1")
-    heavy = staged(heavy.select("h", F.col("slices").cast("long").alias("slices")), "heavy")
+    shares = [F.col(c) * (shards / total[c]) if total[c] else F.lit(0.0) for c in ("size", "tokens", "rows")]
+    # At most 3 * shards / HEAVY groups can be this large, with 3 * shards /
+    # SLICE slices.
+    heavy = groups.withColumn("share", F.greatest(*shares)).where(F.col("share") > HEAVY)
+    slices = F.when(F.col("share") > WHOLE, F.least(F.ceil(F.col("share") / SLICE), F.col("rows"))).otherwise(1)
+    heavy = staged(heavy.select("h", slices.cast("long").alias("slices")), "heavy")
     light = F.pmod("h", F.lit(UNITS)).cast("string")
     cut = F.concat_ws("/", F.col("h").cast("string"), F.pmod(F.xxhash64("doc_id", "place"), F.col("slices")).cast("string"))
     rows = rows.join(F.broadcast(heavy), "h", "left").withColumn("unit", F.when(F.col("slices").isNull(), light).otherwise(cut))
     rows = staged(rows.select("doc_id", "size", "tokens", "text_crc32", "place", "unit"), "units")
     units = rows.groupBy("unit").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
-    table = units.toPandas().sort_values("unit", ignore_index=True)  # bounded: UNITS and the slices
+    table = units.toPandas().sort_values("unit", ignore_index=True)  # bounded: UNITS and the heavy groups
     vectors = table[["size", "tokens", "rows"]].to_numpy("f8").reshape(-1, 3)
     table["shard"] = level(vectors, pack(vectors, shards), shards) if len(table) else 0
     table["first"] = table.groupby("shard")["rows"].cumsum() - table["rows"]

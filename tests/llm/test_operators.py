@@ -279,6 +279,34 @@ def test_shards_are_even_and_slots_gapless(spark, data, texts):
     assert len(loads) == 8 and loads.b.max() < 1.02 * loads.b.mean() and loads.n.max() < 1.2 * loads.n.mean()
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_groups_stay_whole(spark, size):
+    """Equal texts are in one shard, but for groups larger than a shard."""
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    placed = sharding.shard_documents(docs, 40).toPandas()
+    texts = docs.toPandas().set_index("doc_id").text.fillna("")
+    placed["text"] = placed.doc_id.map(texts)
+    groups = placed.groupby("text").agg(parts=("shard", "nunique"), rows=("shard", "size"), bytes=("size", "sum"))
+    large = (groups.bytes > placed["size"].sum() / 40) | (groups.rows > len(placed) / 40)
+    assert (groups.rows > 1).any() and (groups.parts[~large] == 1).all()
+    if size == "sf0.01":
+        loads = placed.groupby("shard")["size"].sum()
+        assert loads.max() < 1.01 * loads.mean() and loads.min() > 0.99 * loads.mean()
+
+
+def test_packing_equals_a_plain_loop():
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(1, 100, (300, 3)).astype("f8")
+    scaled = vectors / vectors.sum(0) * 7
+    room, want = [[1.0] * 3 for _ in range(7)], {}
+    for row in sorted(range(300), key=lambda r: (-max(scaled[r]), r)):
+        products = [sum(a * b for a, b in zip(scaled[row], r)) for r in room]
+        best = products.index(max(products))
+        want[row] = best
+        room[best] = [a - b for a, b in zip(room[best], scaled[row])]
+    assert sharding.pack(vectors, 7).tolist() == [want[r] for r in range(300)]
+
+
 def test_packing_prefers_the_best_dot_product():
     places = sharding.pack(np.array([[10.0, 0], [0, 10.0], [10.0, 0], [0, 10.0]]), 2)
     assert places[0] != places[2] and places[1] != places[3]
