@@ -12,7 +12,7 @@ digest into a task than one run of the scan holds, or ``fan_in`` entries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorate.llm.common import Stage, lower_ascii, normal
@@ -32,22 +32,38 @@ def exact_dedup(
     and exactly one row of a group is ``kept``. An empty table gives no rows.
     Other columns of ``docs`` are not looked at.
     """
+    # The place of a row in the scan is fixed by writing it once; it breaks
+    # ties between rows of one id.
+    rows = normal(docs, id_col, text_col).withColumn("place", F.monotonically_increasing_id())
+    leaf, known = _decided(Stage(docs.sparkSession, "exact-dedup"), rows, keep, fan_in)
+    out = leaf.join(known, ["run", *KEY], "left")
+    return out.select(
+        "doc_id",
+        F.when(F.col("total").isNull(), F.col("doc_id")).otherwise(F.col("top.id")).alias("keep_id"),
+        F.coalesce("total", F.lit(1)).cast("long").alias("group_size"),
+        (F.col("total").isNull() | (F.col("top.place") == F.col("place"))).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
+        "n_bytes",
+        "check_hash",
+    )
+
+
+def _decided(staged: Stage, rows: DataFrame, keep: str, fan_in: int) -> tuple[DataFrame, DataFrame]:
+    """Of rows (doc_id, text, place): the runs of the leaves, and for each run
+    and digest of a group of two or more rows (top, total): the row that stays
+    and the size of the group."""
     if keep not in ("smallest", "largest"):
         raise ValueError("keep must be smallest or largest")
     if fan_in < 2:
         raise ValueError("fan_in must be 2 or more")
-    spark = docs.sparkSession
-    staged = Stage(spark, "exact-dedup")
-    # The place of a row in the scan is fixed by writing it once; it breaks
-    # ties between rows of one id.
     text = lower_ascii(F.col("text"))
-    leaf = normal(docs, id_col, text_col).select(
+    leaf = rows.select(
         "doc_id",
         F.unhex(F.sha2(F.encode(text, "UTF-8"), 256)).alias("digest"),
         F.octet_length(text).alias("n_bytes"),
         F.xxhash64(text).alias("check_hash"),
         F.spark_partition_id().alias("run"),
-        F.monotonically_increasing_id().alias("place"),
+        "place",
     )
     leaf = staged(leaf.sortWithinPartitions(*KEY), "leaf")
 
@@ -73,30 +89,22 @@ def exact_dedup(
         up = known.withColumnRenamed("run", "up")
         below = below.withColumn("up", F.floor(F.col("run") / fan_in).cast("int"))
         known = below.join(up, ["up", *KEY]).select("run", *KEY, "top", "total")
-    known = staged(known, "known")
-    out = leaf.join(known, ["run", *KEY], "left")
-    return out.select(
-        "doc_id",
-        F.when(F.col("total").isNull(), F.col("doc_id")).otherwise(F.col("top.id")).alias("keep_id"),
-        F.coalesce("total", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("total").isNull() | (F.col("top.place") == F.col("place"))).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
-        "n_bytes",
-        "check_hash",
-    )
+    return leaf, staged(known, "known")
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", fan_in: int = 16) -> DataFrame:
     """``docs`` with one row of every group of equal texts, all its columns
-    as they were. Of rows that agree in id and text, one stays."""
-
-    def key(doc_id, digest):
-        return F.concat_ws(":", digest, F.coalesce(doc_id.cast("string"), F.lit("null")))
-
-    found = exact_dedup(docs, id_col, text_col, keep).where("group_size > 1")
-    gone = found.groupBy(key(F.col("doc_id"), F.col("text_sha256")).alias("key")).agg(F.max("kept").alias("any_kept"))
-    digest = F.sha2(F.encode(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), "UTF-8"), 256)
-    packed = docs.select(F.struct("*").alias("doc"), key(F.col(id_col), digest).alias("key"))
-    left = packed.join(gone.where("NOT any_kept"), "key", "left_anti")
-    repeat = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    return left.withColumn("repeat", repeat).where("repeat = 1").select("doc.*")
+    as they were: that of the smallest (or largest) id, and of rows that agree
+    in id and text the first of the scan. Rows are told apart by their place,
+    so null and repeated ids do no harm. A null text is empty and equals the
+    empty one. An empty table gives an empty one; columns of ``docs`` may have
+    any names."""
+    staged = Stage(docs.sparkSession, "exact-dedup")
+    packed = staged(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("place")), "placed")
+    text = F.col("doc").getField(text_col)
+    rows = packed.select(F.col("doc").getField(id_col).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), "place")
+    leaf, known = _decided(staged, rows, keep, fan_in)
+    # Only the rows that go are looked up among the documents; where they are
+    # few, Spark broadcasts them and no document is shuffled.
+    gone = leaf.join(known, ["run", *KEY]).where("place != top.place").select("place")
+    return packed.join(staged(gone, "gone"), "place", "left_anti").select("doc.*")

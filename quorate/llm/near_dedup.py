@@ -198,7 +198,10 @@ def _classes(staged: Stage, rows: DataFrame, k: int, similarity: int) -> tuple[D
     wanted = staged(classes.select("digest", "node", "rep", "n").join(wanted, "node", "left_semi"), "wanted")
     ids = wanted.select(F.coalesce(F.col("rep").cast("string"), F.lit("null")).alias("key")).distinct()
     texts = rows.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).join(ids, "key", "left_semi")
-    sets = staged(_sets(texts, k).join(wanted, "digest").select("node", "n", "shingles", "outline"), "sets")
+    # Many rows may share the id of a representative, or have none: of equal
+    # sets one stays.
+    found = _sets(texts, k).join(wanted, "digest").groupBy("node").agg(F.any_value(F.struct("n", "shingles", "outline")).alias("set"))
+    sets = staged(found.select("node", "set.*"), "sets")
 
     def confirmed(pairs: DataFrame, label: str) -> DataFrame:
         whole = sets.select("node", "n", "shingles")
@@ -288,6 +291,9 @@ def drop_near_copies(docs: DataFrame, k: int = 5, similarity: int = 80, id_col:
     doc_id, text = F.col("doc").getField(id_col).cast("long"), F.col("doc").getField(text_col)
     rows = packed.select(doc_id.alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), "place")
     sketches, of_class = _classes(staged, rows, k, similarity)
-    best = of_class.groupBy("component").agg(F.min("best").alias("best")).select("best.place")
-    stay = best.union(sketches.where("n = 0").select("place"))
-    return packed.join(stay, "place", "left_semi").select("doc.*")
+    best = of_class.groupBy("component").agg(F.min("best").alias("best")).select("component", "best.place")
+    stays = of_class.join(best, "component").select("digest", F.col("place").alias("stays"))
+    # Only the rows that go are looked up among the documents; where they are
+    # few, Spark broadcasts them and no document is shuffled.
+    gone = sketches.where("n > 0").join(stays, "digest").where("place != stays").select("place")
+    return packed.join(staged(gone, "gone"), "place", "left_anti").select("doc.*")

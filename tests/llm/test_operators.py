@@ -409,3 +409,27 @@ def test_label_noise_is_no_input(spark):
 
 def test_rank_files_are_what_they_say():
     assert bpe._field(2, 1.0) == b"\x15" + struct.pack("<f", 1.0) and base64.b64decode(b"YQ==") in bpe.read_ranks(RANKS)
+
+
+def test_rows_of_one_id_are_one_set(spark, monkeypatch):
+    """Two near equal texts, many rows each, all without an id: one set for
+    each text reaches the comparison."""
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = table(spark, *[(None, words if i % 2 else words + " more") for i in range(300)])
+    seen, stage = {}, near_dedup.Stage.__call__
+
+    def counting(self, df, name):
+        out = stage(self, df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup.Stage, "__call__", counting)
+    assert near_dedup.drop_near_copies(docs.repartition(4)).count() == 1
+    assert seen["sets"] == 2 and seen["star-links"] == 1
+
+
+def test_copies_are_dropped_by_place(spark):
+    rows = [(None, "a")] * 3 + [(1, "b"), (1, "b"), (1, "c"), (0, "B"), (None, None), (5, "")]
+    left = exact_dedup.drop_copies(table(spark, *rows).repartition(3)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in left) == [(False, 0, "B"), (False, 1, "c"), (False, 5, ""), (True, 0, "a")]
+    assert left[0].h == "h"
