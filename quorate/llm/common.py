@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from quorate.sources.staging import new_folder, stage
 
 __all__ = [
-    "Remembered", "Runs", "Stage", "binary_array", "bounded_labels", "gather", "held_out", "lower_ascii", "map_rows", "normal",
+    "Remembered", "Runs", "Stage", "binary_array", "bounded_labels", "gather", "held_out", "lower_ascii", "map_rows", "normal", "one_text",
     "portions", "ship", "table",
 ]
 
@@ -183,6 +183,12 @@ def release_memory() -> None:
         pass
 
 
+def one_text(rows: DataFrame, *also: str) -> DataFrame:
+    """Of rows (doc_id, text, ...) one text of each id, chosen by its hash:
+    however many rows a chosen id has, a sample by id stays bounded."""
+    return rows.groupBy("doc_id", *also).agg(F.min_by("text", F.xxhash64("text")).alias("text")).select(*also, "text")
+
+
 def bounded_labels(labels: DataFrame, column: str, bound: int, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, label) of at most ``bound`` labelled rows that are not held
     out, chosen by a hash of the id; two labels of one id: the larger. The

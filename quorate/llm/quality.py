@@ -6,9 +6,11 @@
    Tokens share ``BUCKETS`` rows by hash, so that the table has a fixed size;
    every task adds up its own table and the tables are summed by Spark.
 2. *Pooling.* A document is the mean and the spread of its tokens' context
-   vectors, and its length.
+   vectors, the mean and the spread of how alike neighbours are (the cosine of
+   their vectors; 1 where a token is repeated), and its length.
 3. *Two layers in numpy*, fitted on a bounded sample of labelled documents
-   (``bound``), with a temperature from a part of it that was kept back.
+   (``bound``), with a temperature and an offset from a part of it that was
+   kept back.
 
 A token is a run of letters, of digits, or of other characters; case counts.
 """
@@ -27,12 +29,12 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import bounded_labels, map_rows, normal, portions
+from quorate.llm.common import bounded_labels, map_rows, normal, one_text, portions
 
 BUCKETS, DIM, WINDOW, NONZERO = 8192, 64, 2, 2
 BLOCKS = 64  # parts in which the table of vectors is summed
 PIECE = 50_000  # tokens handled at a time, which bounds memory for long texts
-FEATURES = 2 * DIM + 2
+FEATURES = 2 * DIM + 4
 
 _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
 
@@ -122,21 +124,27 @@ def pooled(texts: list[str], vectors: np.ndarray, bucket_of: _Buckets) -> np.nda
         ids = token_buckets(text, bucket_of)
         if not len(ids):
             continue
-        total, squares = np.zeros(DIM), np.zeros(DIM)
+        total, squares, near = np.zeros(DIM), np.zeros(DIM), np.zeros(2)
         for at in range(0, len(ids), PIECE):
-            part = vectors[ids[at : at + PIECE]]
+            part = vectors[ids[at : at + PIECE + 1]]  # and the first of the next piece
+            alike = np.einsum("ij,ij->i", part[:-1], part[1:])
+            near += alike.sum(), alike @ alike
+            part = part[:PIECE]
             total += part.sum(0)
             squares += np.einsum("ij,ij->j", part, part)
         mean = total / len(ids)
         row[:DIM] = mean
         row[DIM : 2 * DIM] = np.sqrt(np.maximum(squares / len(ids) - mean**2, 0))
-        row[2 * DIM :] = np.log1p(len(ids)), len(text.encode()) / len(ids) / 10
+        near /= max(1, len(ids) - 1)
+        spread = np.sqrt(max(0.0, near[1] - near[0] ** 2))
+        row[2 * DIM :] = near[0], spread, np.log1p(len(ids)), len(text.encode()) / len(ids) / 10
     return out
 
 
 @dataclass
 class Net:
-    """tanh layer and logistic layer over standardised features."""
+    """tanh layer and logistic layer over standardised features; logits are
+    divided by the temperature and moved by the offset."""
 
     mean: np.ndarray
     scale: np.ndarray
@@ -145,17 +153,18 @@ class Net:
     w2: np.ndarray
     b2: float
     temperature: float = 1.0
+    offset: float = 0.0
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature + self.offset, -30, 30)))
 
 
 def fit(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 40, seed: int = 7) -> Net:
-    """Adam on log loss; then the temperature that minimises it on a tenth of
-    the rows that was kept back. One class, or no rows: a constant."""
+    """Adam on log loss; then temperature and offset from a fifth of the rows
+    that was kept back. One class, or no rows: a constant."""
     x, y = x.astype("f8"), y.astype("f8")
     if len(y) == 0 or y.min() == y.max():
         rate = (y.sum() + 1) / (len(y) + 2)
@@ -163,7 +172,7 @@ def fit(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 40, seed:
         return Net(zero, zero + 1, np.zeros((x.shape[1], 1)), np.zeros(1), np.zeros(1), float(np.log(rate / (1 - rate))))
     random = np.random.default_rng(seed)
     order = random.permutation(len(y))
-    back = max(1, len(y) // 10) if len(y) >= 20 else 0
+    back = len(y) // 5 if len(y) >= 20 else 0
     late, early = order[:back], order[back:]
     mean, scale = x[early].mean(0), x[early].std(0) + 1e-6
     net = Net(mean, scale, random.normal(0, x.shape[1] ** -0.5, (x.shape[1], hidden)), np.zeros(hidden), np.zeros(hidden), 0.0)
@@ -187,17 +196,29 @@ def fit(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 40, seed:
                 v -= rate * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
     net.w1, net.b1, net.w2, net.b2 = values[0], values[1], values[2], float(values[3][0])
     if back:
-        logits = net.logits(x[late])
-        grid = np.exp(np.linspace(np.log(0.25), np.log(8), 60))
-        losses = [np.mean(np.logaddexp(0, logits / t) - y[late] * logits / t) for t in grid]
-        net.temperature = float(grid[int(np.argmin(losses))])
+        net.temperature, net.offset = calibrate(net.logits(x[late]), y[late])
     return net
 
 
+def calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Temperature and offset that minimise the log loss. Both classes weigh
+    alike in the offset, so that a rare class is not called less likely than
+    its texts show."""
+    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    best = (np.inf, 1.0, 0.0)
+    for temperature in np.exp(np.linspace(np.log(0.25), np.log(8), 30)):
+        for offset in np.linspace(-4, 4, 41):
+            z = logits / temperature + offset
+            loss = float(weight @ (np.logaddexp(0, z) - y * z)) + 1e-4 * offset**2
+            best = min(best, (loss, float(temperature), float(offset)))
+    return best[1], best[2]
+
+
 def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, bound: int = 20_000, column: str = "quality") -> Net:
     """Fit on at most ``bound`` labelled documents that are not held out."""
     chosen = F.broadcast(bounded_labels(labels, column, bound))
-    rows = normal(docs).join(chosen, "doc_id").select("label", "text")
+    # One row of each id, so that what reaches the driver is bounded.
+    rows = one_text(normal(docs).join(chosen, "doc_id"), "label")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket_of = _Buckets()

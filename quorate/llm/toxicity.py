@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import bounded_labels, held_out, map_rows, normal, portions
+from quorate.llm.common import bounded_labels, held_out, map_rows, normal, one_text, portions
 
 SEEDS = (11, 23, 47)
 LEAST = 3.0  # standard deviations (1 at least) by which the confirmed texts with a feature exceed what is usual
@@ -188,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = 4_000, column: str =
     free = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
     drawn = free.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(bound)
     unlabelled = texts.join(F.broadcast(drawn), "doc_id")
-    p, u = _sample_features(positive), _sample_features(unlabelled)
+    # One row of each id, so that what reaches the driver is bounded.
+    p, u = _sample_features(one_text(positive)), _sample_features(one_text(unlabelled))
     return [fit_nnpu(p, u, prior, seed) for seed in SEEDS]
 
 
