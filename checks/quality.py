@@ -169,6 +169,38 @@ def v7(spark, folder):
     )
 
 
+# Per set, a letter for each field in order: R required text, T text with a
+# limit, F free text, Y year, N number, B boolean, D date, U address, C
+# registration number.
+_SQL_SETS = """(VALUES ('company', 'RRTYUCDFTNDD'), ('person', 'NRRTTTUD'), ('people', 'NRRTTTUD'), ('patent', 'NRRTFFYBBFTUD'),
+  ('patents', 'NRRTFFYBBFTUD'), ('publication', 'NRNFTYFTUD'), ('product', 'NRTTTUD'), ('products_services', 'NRTTTUD'),
+  ('funding', 'NRTNFTTDTUDD'), ('news_coverage', 'NRFDTUD'), ('extraction_log', 'NRTTNFUD')) v(s, codes)"""
+_GOOD = {"string": "x", "year": "2020", "numeric": "-12.5", "boolean": "True", "date": "2024-01-05", "url": "https://a.example.org", "registration": "u12345mh2020ptc000001"}
+_BAD = {"year": "20x0", "numeric": "soon", "boolean": "maybe", "date": "2024-13-41", "url": "https://x y", "registration": "U12345"}
+
+
+@query(
+    "v7_rule_values",
+    f"""SELECT o_orderkey, s AS entity_type, length(codes)::INTEGER AS fields,
+          len([j FOR j IN range(0, length(codes)) IF CASE (o_orderkey + j) % 5 WHEN 0 THEN codes[j + 1] = 'F' WHEN 1 THEN codes[j + 1] <> 'R' ELSE true END])::INTEGER AS valid_fields
+        FROM orders, {_SQL_SETS}""",
+)
+def v7_values(spark, folder):
+    """Good, bad and empty values of every field of every set, by row."""
+    orders = fx.table(spark, folder, "orders").select("o_orderkey")
+
+    def filled(name):
+        columns = []
+        for j, rule in enumerate(RULE_SETS[name]):
+            bad = "x" * (rule.max_length + 1) if rule.max_length else _BAD.get(rule.kind, "x" * 1000)
+            state = F.pmod(F.col("o_orderkey") + j, F.lit(5))
+            columns.append(F.when(state == 0, bad).when(state == 1, "").otherwise(_GOOD[rule.kind]).alias(rule.field))
+        return orders.select("o_orderkey", *columns)
+
+    counted = [row_counts(filled(name), name, ["o_orderkey"]) for name in RULE_SETS]
+    return reduce(DataFrame.unionByName, counted).select("o_orderkey", "entity_type", "fields", "valid_fields")
+
+
 _NAMES = ("company", "people", "person", "patents", "robot", "Company", "news_coverage")
 
 

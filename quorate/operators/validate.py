@@ -290,15 +290,21 @@ def apply_suggestions(
     df: DataFrame, entity_type: str, style: str = "typed", fail_on: str = "critical", rules: Sequence[FieldRule] | None = None
 ) -> DataFrame:
     """Put suggested values in place. A failure of severity ``fail_on`` or worse
-    stops the job (no built-in rule is critical)."""
+    stops the job (no built-in rule is critical).
+
+    The stop is a filter and not part of the values, so it is there whatever
+    columns are asked for later. Rules that have no such failure add nothing.
+    """
     at_least = SEVERITIES[SEVERITIES.index(fail_on) :]
     verdicts = [v for v in judge_all(df, entity_type, style, rules) if v.rule.field in df.columns]
-    changed = {}
+    changed, stops = {}, []
     for v in verdicts:
         column = v.rule.field
-        kind = df.schema[column].dataType
-        new = F.coalesce(v.suggested.try_cast(kind), F.col(column))
-        fatal = ~v.valid & v.severity.isin(list(at_least))
-        error = F.raise_error(F.concat(F.lit(f"{entity_type}.{column}: "), v.message)).cast(kind)
-        changed[column] = F.when(fatal, error).otherwise(new)
+        changed[column] = F.coalesce(v.suggested.try_cast(df.schema[column].dataType), F.col(column))
+        if any(not c.valid and c.severity in at_least for c in v.cases.cases):
+            fatal = ~v.valid & v.severity.isin(list(at_least))
+            error = F.raise_error(F.concat(F.lit(f"{entity_type}.{column}: "), v.message)).cast("boolean")
+            stops.append(F.when(fatal, error).otherwise(True))
+    if stops:
+        df = df.where(reduce(lambda a, b: a & b, stops))
     return df.withColumns(changed)

@@ -181,3 +181,12 @@ def test_report_and_gate(spark):
 def test_timestamps_count_as_dates(spark):
     rows = company(spark).withColumn("created_at", F.lit(datetime(2025, 1, 1)))
     assert counts(rows, "company", "typed") == (12, 12, 0, 0)
+
+
+def test_a_stop_is_not_pruned(spark):
+    rows = company(spark, registered_name="").withColumn("place", F.lit(1))
+    with pytest.raises(Exception, match="registered_name"):
+        apply_suggestions(rows, "company", fail_on="error").select("place").collect()
+    with pytest.raises(Exception, match="registered_name"):
+        apply_suggestions(rows, "company", fail_on="error").count()
+    assert apply_suggestions(rows, "company").select("place").count() == 1
