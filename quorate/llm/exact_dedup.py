@@ -1,13 +1,18 @@
 """Exact dedup: a tree merge of sorted digest runs.
 
-Every partition of the scan writes one run, sorted by digest. In each round
-``fan_in`` neighbouring runs meet (the run number loses a digit), are merged by
-digest, and the entry keeps the smallest (or largest) identifier and the
-number of rows. An entry is a digest of 256 bits *with* the byte length and a
-second, independent hash of 64 bits; only entries that agree in all three are
-merged, at every level. After the last round one run is left, and the decision
-travels down the same tree, so that no exchange ever deals more rows of one
-digest into a task than one run of the scan holds, or ``fan_in`` entries.
+Every partition of the scan is one run of digests; it is cut into ``RANGES``
+ranges of the digest, the same for all runs. In each round ``fan_in``
+neighbouring runs meet (the run number loses a digit): the pieces of one range
+come together in one task, in order of the digest, and are merged by one pass
+over neighbouring entries; the entry of a digest keeps the smallest (or
+largest) identifier and the number of rows. An entry is a digest of 256 bits
+*with* the byte length and a second, independent hash of 64 bits; only entries
+that agree in all three are merged, at every level. After the last round one
+run is left, and the decision travels down the same tree.
+
+A digest has one entry in a run, so a task of a round meets at most ``fan_in``
+entries of it, however many rows have it; within a run of the scan they are
+added up before they are dealt.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from pyspark.sql import functions as F
 from quorate.llm.common import Stage, lower_ascii, normal
 
 KEY = ("digest", "n_bytes", "check_hash")
+RANGES = 1 << 16  # by the first two bytes of the digest
 
 
 def exact_dedup(
@@ -65,31 +71,36 @@ def _decided(staged: Stage, rows: DataFrame, keep: str, fan_in: int) -> tuple[Da
         F.spark_partition_id().alias("run"),
         "place",
     )
-    leaf = staged(leaf.sortWithinPartitions(*KEY), "leaf")
+    leaf = staged(leaf.withColumn("range", F.conv(F.hex(F.substring("digest", 1, 2)), 16, 10).cast("int")), "leaf")
 
     best = F.min if keep == "smallest" else F.max
     null_rank = F.col("doc_id").isNull() if keep == "smallest" else F.col("doc_id").isNotNull()
     entry = F.struct(null_rank.alias("rank"), F.col("doc_id").alias("id"), F.col("place").alias("place"))
     runs = leaf.agg(F.coalesce(F.max("run"), F.lit(0)) + 1).first()[0]
-    levels = [staged(leaf.groupBy("run", *KEY).agg(best(entry).alias("best"), F.count("*").alias("n")), "level0")]
+    # One run's rows of a digest are added up where they are read.
+    added = leaf.groupBy("run", "range", *KEY).agg(best(entry).alias("best"), F.count("*").alias("n"))
+    levels = [staged(added, "level0")]
     while runs > 1:
         runs = -(-runs // fan_in)
-        merged = (
-            levels[-1]
-            .withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *KEY)
-            .agg(best("best").alias("best"), F.sum("n").alias("n"))
-        )
-        levels.append(staged(merged, f"level{len(levels)}"))
+        levels.append(staged(merged(levels[-1], fan_in, best), f"level{len(levels)}"))
 
     # Down again: only groups of two or more rows have anything to tell.
-    known = levels.pop().where("n > 1").select("run", *KEY, F.col("best").alias("top"), F.col("n").alias("total"))
+    known = levels.pop().where("n > 1").select("run", "range", *KEY, F.col("best").alias("top"), F.col("n").alias("total"))
     while levels:
         below = levels.pop()
         up = known.withColumnRenamed("run", "up")
         below = below.withColumn("up", F.floor(F.col("run") / fan_in).cast("int"))
-        known = below.join(up, ["up", *KEY]).select("run", *KEY, "top", "total")
-    return leaf, staged(known, "known")
+        known = below.join(up, ["up", "range", *KEY]).select("run", "range", *KEY, "top", "total")
+    return leaf, staged(known.drop("range"), "known")
+
+
+def merged(entries: DataFrame, fan_in: int, best) -> DataFrame:
+    """One round. The exchange deals pieces (run, range), the sort brings the
+    runs of a piece into one order, and the aggregate, whose keys are that
+    order, passes over it without another exchange or sort."""
+    dealt = entries.withColumn("run", F.floor(F.col("run") / fan_in).cast("int")).repartition("run", "range")
+    in_order = dealt.sortWithinPartitions("run", "range", *KEY)
+    return in_order.groupBy("run", "range", *KEY).agg(best("best").alias("best"), F.sum("n").alias("n"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", fan_in: int = 16) -> DataFrame:

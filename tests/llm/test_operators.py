@@ -433,3 +433,14 @@ def test_copies_are_dropped_by_place(spark):
     left = exact_dedup.drop_copies(table(spark, *rows).repartition(3)).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in left) == [(False, 0, "B"), (False, 1, "c"), (False, 5, ""), (True, 0, "a")]
     assert left[0].h == "h"
+
+
+def test_a_round_merges_sorted_runs(spark):
+    """One exchange by run and range, one sort, and aggregates that need no
+    sort or exchange of their own."""
+    fields = "run INT, `range` INT, digest BINARY, n_bytes INT, check_hash BIGINT, best STRUCT<rank: BOOLEAN, id: BIGINT, place: BIGINT>, n BIGINT"
+    entries = spark.createDataFrame([(r, 0, b"x", 1, 1, (False, r, r), 1) for r in range(4)], fields)
+    round_ = exact_dedup.merged(entries, 2, F.min)
+    assert {(r.run, r.best.id, r.n) for r in round_.collect()} == {(0, 0, 2), (1, 2, 2)}
+    plan = round_._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("- Sort [") == 1 and "SortAggregate" in plan
