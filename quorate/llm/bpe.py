@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Remembered, Runs, binary_array, map_rows, normal, portions
+from quorate.llm.common import Remembered, Runs, binary_array, id_type, map_rows, normal, portions
 
 def byte_characters() -> list[str]:
     """A printable character for each byte: itself where it prints in Latin-1,
@@ -160,7 +160,8 @@ def encode_documents(
     null id stays null; repeated rows stay; an empty table gives no rows;
     other columns are not looked at. The length of a text is not limited.
     """
-    fields = "doc_id BIGINT, ids BINARY" + (", decoded BINARY" if decode else "")
+    rows = normal(docs, id_col, text_col)
+    fields = f"doc_id {id_type(rows)}, ids BINARY" + (", decoded BINARY" if decode else "")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path, pattern)
@@ -173,7 +174,6 @@ def encode_documents(
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: 2 + decode])
         coder.parts.forget()
 
-    rows = normal(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return map_rows(rows, work, fields)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from quorate.sources.staging import new_folder, stage
 
 __all__ = [
-    "Remembered", "Runs", "Stage", "binary_array", "bounded_labels", "gather", "held_out", "lower_ascii", "map_rows", "normal", "one_text",
+    "Remembered", "Runs", "Stage", "binary_array", "bounded_labels", "gather", "held_out", "id_type", "lower_ascii", "map_rows", "normal", "one_text",
     "portions", "ship", "table",
 ]
 
@@ -37,6 +37,11 @@ def normal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def id_type(rows: DataFrame) -> str:
+    """The type of the ids, which an operator hands on as it is."""
+    return rows.schema["doc_id"].dataType.simpleString()
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

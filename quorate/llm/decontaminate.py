@@ -160,7 +160,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, i
     """``docs`` without the documents in which a window occurs, all columns as
     they were. Whether one occurs depends on the text alone, so rows are judged
     by a digest of their text; ids are not looked at and may be null or
-    repeated."""
+    repeated. A null text has no words and stays. Without documents or items
+    nothing is dropped; columns of ``docs`` may have any names."""
     digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
     packed = docs.select(F.struct("*").alias("doc"), digest.alias("key"))
     found = decontaminate(docs.select(digest.alias("key"), F.col(text_col).alias("text")), benchmark, window, "key", "text")

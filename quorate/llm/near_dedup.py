@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Stage, map_rows, normal, portions
+from quorate.llm.common import Stage, id_type, map_rows, normal, portions
 
 PERMUTATIONS, ROWS = 80, 5
 BANDS = 2 * PERMUTATIONS // ROWS
@@ -113,7 +113,7 @@ def _sketches(rows: DataFrame, k: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n", "digest", "bands"])
 
-    return map_rows(rows, work, "doc_id BIGINT, place BIGINT, n BIGINT, digest BINARY, bands ARRAY<BIGINT>")
+    return map_rows(rows, work, f"doc_id {id_type(rows)}, place BIGINT, n BIGINT, digest BINARY, bands ARRAY<BIGINT>")
 
 
 def _sets(rows: DataFrame, k: int) -> DataFrame:
@@ -268,7 +268,7 @@ def near_duplicates(
     gives no rows. Other columns are not looked at.
     """
     staged = Stage(docs.sparkSession, "near-dedup")
-    rows = normal(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("place"))
+    rows = normal(docs, id_col, text_col).select("doc_id", "text", F.monotonically_increasing_id().alias("place"))
     sketches, of_class = _classes(staged, rows, k, similarity)
     smallest = of_class.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("size"))
     # Only components of several classes have another smallest id.
@@ -288,7 +288,7 @@ def drop_near_copies(docs: DataFrame, k: int = 5, similarity: int = 80, id_col:
     staged = Stage(docs.sparkSession, "near-dedup")
     # The place of a row is fixed by writing it once.
     packed = staged(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("place")), "placed")
-    doc_id, text = F.col("doc").getField(id_col).cast("long"), F.col("doc").getField(text_col)
+    doc_id, text = F.col("doc").getField(id_col), F.col("doc").getField(text_col)
     rows = packed.select(doc_id.alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), "place")
     sketches, of_class = _classes(staged, rows, k, similarity)
     best = of_class.groupBy("component").agg(F.min("best").alias("best")).select("component", "best.place")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import Stage, map_rows, normal, portions
+from quorate.llm.common import Stage, id_type, map_rows, normal, portions
 
 BASE = ("email", "ip", "card", "phone")
 LOOSE = ("address", "digits", "dotted")
@@ -299,7 +299,7 @@ def find_personal_data(docs: DataFrame, most_spans: int = 40_000, id_col: str =
     the trees add nothing. An empty table gives no rows. Other columns are not
     looked at.
     """
-    rows = normal(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = normal(docs, id_col, text_col)
     model = train(rows, most_spans)
 
     def line(spans: list[tuple[int, int, int]]) -> str:
@@ -315,4 +315,4 @@ def find_personal_data(docs: DataFrame, most_spans: int = 40_000, id_col: str =
             )
 
     fields = ", ".join(f"n_{k} BIGINT" for k in BASE)
-    return map_rows(rows, work, f"doc_id BIGINT, {fields}, base_text STRING, spans STRING")
+    return map_rows(rows, work, f"doc_id {id_type(rows)}, {fields}, base_text STRING, spans STRING")

@@ -29,7 +29,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import bounded_labels, map_rows, normal, one_text, portions
+from quorate.llm.common import bounded_labels, id_type, map_rows, normal, one_text, portions
 
 BUCKETS, DIM, WINDOW, NONZERO = 8192, 64, 2, 2
 BLOCKS = 64  # parts in which the table of vectors is summed
@@ -253,15 +253,16 @@ def score_quality(docs: DataFrame, labels: DataFrame, bound: int = 20_000, thres
             scores = net.probabilities(pooled(batch.column("text").to_pylist(), vectors, bucket_of))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    rows = normal(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = map_rows(rows, work, "doc_id BIGINT, score DOUBLE")
+    rows = normal(docs)
+    scored = map_rows(rows, work, f"doc_id {id_type(rows)}, score DOUBLE")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, bound: int = 20_000, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that score below ``threshold``, all columns
-    as they were. Every row is judged in place, so null ids and repeated rows
-    need no key."""
+    as they were, whatever their names. Every row is judged in place, so null
+    ids and repeated rows need no key. A null text is empty; an empty text has
+    the score of zero features; an empty table gives an empty one."""
     vectors = word_vectors(docs)
     net = train(docs, labels, vectors, bound)
     schema = docs.schema

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorate.llm.common import bounded_labels, held_out, map_rows, normal, one_text, portions
+from quorate.llm.common import bounded_labels, held_out, id_type, map_rows, normal, one_text, portions
 
 SEEDS = (11, 23, 47)
 LEAST = 3.0  # standard deviations (1 at least) by which the confirmed texts with a feature exceed what is usual
@@ -213,6 +213,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, bound: int = 4_000, thres
             scores = np.mean([_sigmoid(model.logits(hashes, firsts)) for model in models], axis=0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    rows = normal(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = map_rows(rows, work, "doc_id BIGINT, score DOUBLE")
+    rows = normal(docs)
+    scored = map_rows(rows, work, f"doc_id {id_type(rows)}, score DOUBLE")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -444,3 +444,15 @@ def test_a_round_merges_sorted_runs(spark):
     assert {(r.run, r.best.id, r.n) for r in round_.collect()} == {(0, 0, 2), (1, 2, 2)}
     plan = round_._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("- Sort [") == 1 and "SortAggregate" in plan
+
+
+def test_text_ids_stay_text(spark):
+    docs = spark.createDataFrame([("k1", "one two three. token=abcdefg"), ("k2", "one two three. token=abcdefg"), (None, None)], "doc_id STRING, text STRING")
+    none = labels(spark).limit(0).withColumn("doc_id", F.col("doc_id").cast("string"))
+    for work in (
+        lambda d: bpe.round_trip(d, RANKS, public_tokenizers.PATTERN), pii.find_personal_data, near_dedup.near_duplicates,
+        lambda d: quality.score_quality(d, none), lambda d: toxicity.score_toxicity(d, none), exact_dedup.exact_dedup, sharding.shard_documents,
+    ):
+        assert sorted(map(str, (r.doc_id for r in work(docs).collect()))) == ["None", "k1", "k2"]
+    assert {r.component_id for r in near_dedup.near_duplicates(docs).collect() if r.doc_id} == {"k1"}
+    assert near_dedup.drop_near_copies(docs).count() == 2
