@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.registry import query
 from quorate import functions as fn
-from quorate.operators.standardize import Rule, normalise_text_fields, parse_founders, rejected_values, standardize
+from quorate.operators.standardize import Rule, normalise_text_fields, parse_founders, rejected_values, standardize, standardize_stored
+from quorate.sources import new_folder
 
 DAY = "yyyy-MM-dd"
 
@@ -145,6 +146,18 @@ def c_counts(spark, folder):
     return counts
 
 
+@query(
+    "c_standardize_stored",
+    """SELECT 'amount' AS column_name, 'amount' AS rule, count(*) FILTER (o_orderkey % 7 = 6) AS rejected, count(*) AS rows,
+         count(*) FILTER (o_orderkey % 7 <> 6) AS filled FROM orders""",
+)
+def c_stored(spark, folder):
+    """Cleaned rows and counts from one scan."""
+    clean, counts = standardize_stored(fx.amounts(spark, folder), [Rule("amount", "amount", "amount_inr")], new_folder(spark, "clean"))
+    filled = clean.agg(F.lit("amount").alias("column_name"), F.count("amount_inr").alias("filled"))
+    return counts.join(filled, "column_name")
+
+
 @query(
     "c_rejected_values",
     """SELECT o_orderkey, 'amount' AS column_name, 'amount' AS rule, list_value('abc', '1.2.3', '5K')[o_orderkey % 3 + 1] AS raw

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quorate import functions as fn
+from quorate.sources.staging import stage
 
 
 def _scalar(pick: Callable[[Column], Column], clean: Callable[..., Column]):
@@ -84,6 +85,21 @@ def standardize(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFr
     return clean, counts.select(F.inline(F.array(*lines)))
 
 
+def standardize_stored(df: DataFrame, rules: Sequence[Rule], folder: str, name: str = "clean") -> tuple[DataFrame, DataFrame]:
+    """The two tables of ``standardize`` from one scan: the cleaned rows are
+    written below ``folder`` and counted on their way there. A row that a
+    repeated task writes again counts once, as there is no exchange between
+    the scan and the write. The counts have the rows of the table as well:
+    ``(column_name, rule, rejected, rows)``."""
+    counted = Observation()
+    lost = [F.count_if(_lost(df, r)).alias(f"_{i}") for i, r in enumerate(rules)]
+    observed = df.observe(counted, F.count(F.lit(1)).alias("_rows"), *lost)
+    clean = stage(observed.withColumns({r.target: _cleaned(df, r) for r in rules}), folder, name)
+    found = counted.get
+    lines = [(r.column, r.kind, found[f"_{i}"], found["_rows"]) for i, r in enumerate(rules)]
+    return clean, df.sparkSession.createDataFrame(lines, "column_name STRING, rule STRING, rejected BIGINT, rows BIGINT")
+
+
 def rejected_values(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
     """Long table ``(keys, column_name, rule, raw)`` of the values that rules lost."""
     lines = [
