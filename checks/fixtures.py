@@ -13,10 +13,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows of a costly table that one task parses, at most about that many.
+TASK_ROWS = 50_000
+
+
 def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table whose rows are costly to parse, dealt over the cores before
-    messy text is made of it: the driver's files are one split each."""
-    return table(spark, folder, name).repartition(spark.sparkContext.defaultParallelism)
+    messy text is made of it: the driver's files are one split each. Larger
+    tables are more tasks and not larger ones."""
+    rows = table(spark, folder, name)
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, rows.count() // TASK_ROWS + 1))
 
 
 def entities(spark, folder) -> DataFrame:
