@@ -24,7 +24,7 @@ from quorate.operators.load import (
 from quorate.plans.loads import load
 from quorate.schemas import COMPANIES, FUNDING, NEWS, PATENTS, PEOPLE, PUBLICATIONS
 from quorate.sources import new_folder, stage
-from quorate.store import KeySketch, Table
+from quorate.store import TASK_ROWS, KeySketch, Table
 
 NOW = datetime(2025, 3, 1, 12, 30)
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -249,6 +249,23 @@ def l5_stored(spark, folder):
     return table.read(with_slice=True).select("news_id", F.col("slice").alias("run"))
 
 
+def _tiled(rows, key, tiles):
+    """``ntile`` over all rows by a key, without all rows in one task: ranges
+    of the key are numbered each on its own, behind the sizes of those before."""
+    total = rows.count()
+    pieces = rows.repartitionByRange(total // TASK_ROWS + 1, key).withColumn("_piece", F.spark_partition_id())
+    pieces = stage(pieces, new_folder(rows.sparkSession, "ranges"), "pieces")
+    sizes = pieces.groupBy("_piece").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_piece", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_piece").orderBy(key)) - 1
+    # The first tiles have a row more where the rows do not come out even.
+    small, larger = divmod(total, tiles)
+    edge = larger * (small + 1)
+    tile = f"CASE WHEN _place < {edge} THEN _place DIV {small + 1} ELSE {larger} + (_place - {edge}) DIV {max(small, 1)} END + 1"
+    return pieces.join(offsets, "_piece").withColumn("_place", place).select(*rows.columns, F.expr(tile).alias("tile"))
+
+
 @query(
     "l5_sketched_append",
     """WITH o AS (SELECT o_orderkey AS k, ntile(20) OVER (ORDER BY o_orderkey) AS t FROM orders)
@@ -259,8 +276,8 @@ def l5_sketched(spark, folder):
     """A late batch that repeats two of twenty stored runs, with the rows that
     they lacked: bitmaps tell which runs to look into."""
     table = Table(spark, new_folder(spark, "tables"), NEWS).create()
-    tile = F.concat(F.lit("run"), F.ntile(20).over(Window.orderBy("news_id")))
-    orders = fx.table(spark, folder, "orders").select(F.col("o_orderkey").alias("news_id")).withColumn("run", tile)
+    orders = _tiled(fx.table(spark, folder, "orders").select(F.col("o_orderkey").alias("news_id")), "news_id", 20)
+    orders = orders.withColumn("run", F.concat(F.lit("run"), "tile")).drop("tile")
     orders = stage(orders, new_folder(spark, "runs"), "orders")
     stored = apply_defaults(orders.where("news_id % 3 <> 0"), NEWS, _now(), ("run",))
     runs = [f"run{i}" for i in range(1, 21)]
