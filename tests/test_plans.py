@@ -67,3 +67,11 @@ def test_consumers_read_their_feed_only(spark, tmp_path):
     assert [(r["ordinal"], r["headline"]) for r in news.orderBy("ordinal").collect()] == [(0, "n"), (1, "m")]
     assert {r[0] for f in ("news_json", "news_rss") for r in marked.answered(f).collect()} == {"a", "c"}
     assert [tuple(r) for r in marked.unreadable().collect()] == [("news_json", "b", "{")]
+
+
+def test_every_item_is_read_once(spark):
+    """One read of an item for each JSON feed, not one for each column."""
+    rows = spark.createDataFrame([("a", "news", "{}")], "entity_id STRING, source STRING, body STRING")
+    routes = {name: F.col("source") == name for name in ("patents_json", "publications_json", "news_json", "news_rss")}
+    plan = feeds.marked_rows(rows, routes, ("entity_id",))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(") == 3
