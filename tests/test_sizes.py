@@ -40,3 +40,14 @@ def test_an_append_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     table.replace(rows, F.lit("r"), ["r"], str(tmp_path / "load"))
     assert sorted(r["news_id"] for r in table.read(["r"]).collect()) == list(range(100))
     assert len([f for f in table.read(["r"]).inputFiles() if "slice=r" in f]) > 2
+
+
+def test_stored_tables_start_no_python_workers(spark, tmp_path, monkeypatch):
+    now = F.lit("2025-03-01 12:30:00").cast("timestamp")
+    rows = apply_defaults(spark.range(3).select(F.col("id").alias("news_id")), NEWS, now)
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    table = Table(spark, str(tmp_path), NEWS).create()
+    assert table.read().count() == 0
+    table.replace(rows, F.lit("r"), ["r", "gone"], str(tmp_path / "load"))
+    assert table.slices() == ["gone", "r"] and table.read().count() == 3
+    assert Table(spark, str(tmp_path), NEWS).create().read().schema == table.read().schema
