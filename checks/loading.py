@@ -318,9 +318,10 @@ def l7_in_order(spark, folder):
     """A second load in which numbers are given up, taken over, wanted too
     early and wanted in vain. The last company of all finds its number free."""
     table = Table(spark, new_folder(spark, "tables"), COMPANIES, buckets=8).create()
-    first = fx.table(spark, folder, "customer").selectExpr(
+    first = fx.spread_table(spark, folder, "customer", TASK_ROWS).selectExpr(
         "concat('C/', c_custkey) AS big_award_id", "c_name AS registered_name", "concat('V', c_custkey) AS cin", "c_custkey AS ordinal"
     )
+    first = stage(first, new_folder(spark, "companies"), "first")
     load(table, first, _now(), run_version(NOW), ("ordinal",))
     last = first.agg(F.max("ordinal")).first()[0]
     wish = F.expr(
