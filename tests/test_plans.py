@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from quorate.operators import feeds
+from quorate.operators import payloads as P
 
 PYTHON_ALLOWED = {
     "x6_html_sections", "x9_patent_titles", "x15_isolated_sources", "g6_people_rows", "g7_product_rows", "g8_patent_rows",
@@ -42,6 +43,14 @@ def test_top_rows_are_cut_before_the_shuffle(spark, data):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_amounts_of_rounds_are_read_once(spark):
+    rows = spark.sql("SELECT 'a' AS entity_id, array(named_struct('stage', 's', 'amount_inr', parse_json('1'), 'amount', '1', 'source_name', 'f', 'source_type', 't', 'funding_type', 'g', 'announced_date', '2025-01-01', 'source_url', 'u', '_item', parse_json(CAST(NULL AS STRING)))) AS funding_rounds FROM range(1)")
+    plan = P.marked_rounds(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(") <= 3
+    kept = P.marked_rounds(rows).collect()
+    assert [(r["stage"], float(r["amount_inr"]), r["reason"]) for r in kept] == [("s", 1.0, None)]
+
+
 def test_scan_is_pruned(spark, data):
     plan = plan_of(contract.queries()["l8_cascade_delete"](spark, data))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
