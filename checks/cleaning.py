@@ -154,8 +154,11 @@ def c_counts(spark, folder):
 def c_stored(spark, folder):
     """Cleaned rows and counts from one scan."""
     clean, counts = standardize_stored(fx.amounts(spark, folder), [Rule("amount", "amount", "amount_inr")], new_folder(spark, "clean"))
-    filled = clean.agg(F.lit("amount").alias("column_name"), F.count("amount_inr").alias("filled"))
-    return counts.join(filled, "column_name")
+    filled = clean.agg(F.count("amount_inr").alias("filled"))
+    none = F.lit(None).cast("bigint")
+    # Put together by a union: a join on a column that is one value has no keys.
+    both = counts.withColumn("filled", none).unionByName(filled.select(F.lit("amount").alias("column_name"), "filled"), allowMissingColumns=True)
+    return both.groupBy("column_name").agg(*[F.max(c).alias(c) for c in ("rule", "rejected", "rows", "filled")])
 
 
 @query(
